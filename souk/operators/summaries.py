@@ -100,11 +100,11 @@ def ltv_histogram(totals: DataFrame, bins: int = 50) -> DataFrame:
 
 def ltv_stats(totals: DataFrame, fetch_rows: int = FETCH_ROWS) -> DataFrame:
     """Exact median, mean and largest lifetime value, and people with several orders."""
-    people = materialize(totals.select("monetary", "frequency"))
+    people = materialize(totals.select(PERSON, "monetary", "frequency"))
     size = people.count()
     middle = sorted({(size - 1) // 2, size // 2}) if size else []
-    found = rows_at(people, {"value": (("monetary",), middle)}, size, fetch_rows)["value"]
-    total = F.lit(sum(value for (value,) in found)) if found else F.lit(None)
+    found = rows_at(people, {"value": (("monetary", PERSON), middle)}, size, fetch_rows)["value"]
+    total = F.lit(sum(value for value, _ in found)) if found else F.lit(None)
     return people.agg(
         exact.mean(total, F.lit(max(1, len(found))), 0, scale=2).alias("median"),
         exact.mean(F.sum("monetary"), F.count("monetary"), 0, scale=2).alias("mean"),
@@ -180,8 +180,14 @@ def churn_headline(churn: DataFrame) -> DataFrame:
 def churn_histogram(churn: DataFrame, bins: int = 50) -> DataFrame:
     """People per bin of days since the last order, by status; bins span least to most."""
     days = churn.groupBy("days_since_last", "is_churned").agg(F.count("*").alias("people"))
+    # Reading the counts too keeps the shuffle behind the bounds the same as the one behind
+    # the rows, so that Spark runs it once.
     bounds = days.select(
-        F.struct(F.min("days_since_last").alias("low"), F.max("days_since_last").alias("high"))
+        F.struct(
+            F.min("days_since_last").alias("low"),
+            F.max("days_since_last").alias("high"),
+            F.count_if("is_churned"), F.sum("people"),
+        )
     )
     bucket = _bucket(
         F.col("days_since_last"), F.col("bounds.low"), F.col("bounds.high") + 1, bins

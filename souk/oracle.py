@@ -240,7 +240,7 @@ def _columns(keep, test: str, result: str) -> str:
     )
 
 
-def _matrix(months: int = 80) -> str:
+def _matrix(months: int = 79) -> str:
     columns = ", ".join(
         f"CAST(coalesce(max(retention_rate) FILTER (WHERE months_since = {n}), 0)"
         f" AS DECIMAL(18,2)) AS M{n}"

@@ -1,15 +1,15 @@
 """Exact order statistics of a large frame without sorting it.
 
-The row at a given position of an ordering is found by narrowing: sample a
-bounded number of rows of the open interval that must hold it, take sample rows
-around the expected place as pivots, count the frame against them in one pass,
-and keep the sub-interval that holds the position. Once an interval is small
-enough it is fetched whole. The sample only chooses pivots, so the result is
-exact whatever it holds. All wanted positions, of all orderings, share each pass.
-
-Nothing is shuffled but single-row counts, and each round shrinks the interval
-about fiftyfold, so 10^11 rows need four or five rounds of two scans. The frame
-is read repeatedly: pass a materialised one.
+The row at a given position of an ordering is found by narrowing: sample a bounded
+number of rows of the interval that must hold it, take two of them as pivots, a
+little before and after the expected place, count the frame up to each in one pass,
+and keep the sub-interval that holds the position. An interval that is small enough
+is fetched whole. The sample only chooses pivots, so the result is exact whatever it
+holds. All wanted positions, of all orderings, share each pass.
+
+Only counts are shuffled, and each round shrinks an interval about a hundredfold, so
+10^11 rows take three rounds of two scans and a last one. The frame is read
+repeatedly: pass a materialised one.
 """
 
 from __future__ import annotations
@@ -19,53 +19,71 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-FETCH_ROWS = 10_000
+FETCH_ROWS = 100_000
 
 
-@dataclass
+@dataclass(frozen=True)
 class _Interval:
-    """Open interval of an ordering: rows after ``low`` and before ``high``."""
+    """Rows of an ordering after ``low`` and up to ``high``; None is unbounded."""
 
     columns: tuple[str, ...]
     low: tuple | None
     high: tuple | None
-    before: int  # rows at or before ``low``
-    size: int
+    start: int  # rows up to ``low``
+    end: int  # rows up to ``high``
 
-    def key(self) -> tuple:
-        return self.columns, self.low, self.high
+    @property
+    def size(self) -> int:
+        return self.end - self.start
 
     def holds(self, df: DataFrame) -> Column:
         test = F.lit(True)
         if self.low is not None:
-            test = test & ~at_or_before(df, self.columns, self.low)
+            test = ~up_to(df, self.columns, self.low)
         if self.high is not None:
-            test = test & before(df, self.columns, self.high)
+            test = test & up_to(df, self.columns, self.high)
         return test
 
+    def narrowed(self, position: int, counts: list[tuple[int, tuple]]) -> _Interval:
+        """The part between two counted pivots that holds ``position``."""
+        ends = [count for count, _ in counts]
+        after = bisect.bisect_right(ends, position)
+        start, low, end, high = self.start, self.low, self.end, self.high
+        if after > 0 and ends[after - 1] > start:
+            start, low = counts[after - 1]
+        if after < len(ends) and ends[after] < end:
+            end, high = counts[after]
+        return _Interval(self.columns, low, high, start, end)
+
 
 def before(df: DataFrame, columns: Sequence[str], row: Sequence) -> Column:
     """Whether a row of ``df`` sorts before ``row`` by ``columns``, ascending."""
-    return _compare(df, columns, row, lambda column, value: column < value)
+    *heads, last = _terms(df, columns, row)
+    return _chain(heads, last[0] < last[1])
 
 
-def at_or_before(df: DataFrame, columns: Sequence[str], row: Sequence) -> Column:
-    return _compare(df, columns, row, lambda column, value: column <= value)
+def up_to(df: DataFrame, columns: Sequence[str], row: Sequence) -> Column:
+    """Whether a row of ``df`` sorts before ``row`` or equals it."""
+    *heads, last = _terms(df, columns, row)
+    return _chain(heads, last[0] <= last[1])
 
 
-def _compare(df: DataFrame, columns: Sequence[str], row: Sequence, last) -> Column:
-    head, value = _pair(df, columns[0], row[0])
-    if len(columns) == 1:
-        return last(head, value)
-    rest = _compare(df, columns[1:], row[1:], last)
-    return (head < value) | ((head == value) & rest)
+def _terms(df: DataFrame, columns: Sequence[str], row: Sequence) -> list[tuple[Column, Column]]:
+    return [
+        (F.col(name), F.lit(value).cast(df.schema[name].dataType))
+        for name, value in zip(columns, row)
+    ]
 
 
-def _pair(df: DataFrame, name: str, value) -> tuple[Column, Column]:
-    return F.col(name), F.lit(value).cast(df.schema[name].dataType)
+def _chain(heads: list[tuple[Column, Column]], test: Column) -> Column:
+    for column, value in reversed(heads):
+        test = (column < value) | ((column == value) & test)
+    return test
 
 
 def rows_at(
@@ -76,9 +94,9 @@ def rows_at(
 ) -> dict[str, list[tuple]]:
     """The rows at zero-based positions of each ordering.
 
-    ``orderings`` maps a name to (columns, positions); columns sort ascending and
-    must not be NULL. ``size`` is the row count of ``df``. Returned rows hold the
-    ordering's columns only.
+    ``orderings`` maps a name to (columns, positions). Columns sort ascending, are not
+    NULL, and together differ from row to row. ``size`` is the row count of ``df``.
+    Returned rows hold the ordering's columns only.
     """
     places = {
         (name, position): _Interval(tuple(columns), None, None, 0, size)
@@ -87,95 +105,70 @@ def rows_at(
     }
     found: dict[tuple[str, int], tuple] = {}
     seed = 0
-    while len(found) < len(places):
-        open_places = {place: i for place, i in places.items() if place not in found}
-        intervals = {i.key(): i for i in open_places.values()}
-        samples = _sample(df, intervals, fetch_rows, seed)
-        seed += len(intervals)
-
+    while places:
+        samples = _sample(df, list(set(places.values())), fetch_rows, seed)
         pivots: dict[tuple, set[tuple]] = {}
-        for (name, position), interval in open_places.items():
-            sample = samples[interval.key()]
+        for (name, position), interval in places.items():
+            sample = samples[interval]
+            offset = position - interval.start
             if interval.size <= fetch_rows:
-                found[name, position] = sample[position - interval.before]
-            elif sample:
-                wanted = (position - interval.before) / interval.size * len(sample)
-                margin = 1.5 * math.sqrt(len(sample)) + 1
+                found[name, position] = _row(sample, offset)
+            elif sample.num_rows:
+                wanted = offset / interval.size * sample.num_rows
+                margin = 1.5 * math.sqrt(sample.num_rows) + 1
                 pivots.setdefault(interval.columns, set()).update(
-                    sample[min(max(int(at), 0), len(sample) - 1)]
-                    for at in (wanted - margin, wanted, wanted + margin)
+                    _row(sample, min(max(int(at), 0), sample.num_rows - 1))
+                    for at in (wanted - margin, wanted + margin)
                 )
-        if not pivots:
-            continue
-        counts = _count(df, pivots)
-        for (name, position), interval in open_places.items():
-            if (name, position) not in found:
-                _narrow(places, found, (name, position), interval, counts)
+        places = {place: i for place, i in places.items() if place not in found}
+        if pivots:
+            counts = _count(df, pivots)
+            places = {
+                (name, position): interval.narrowed(position, counts[interval.columns])
+                for (name, position), interval in places.items()
+            }
+        seed += 1
     return {
         name: [found[name, position] for position in positions]
         for name, (_, positions) in orderings.items()
     }
 
 
+def _row(table: pa.Table, number: int) -> tuple:
+    return tuple(column[number].as_py() for column in table.columns)
+
+
 def _sample(
-    df: DataFrame, intervals: dict[tuple, _Interval], fetch_rows: int, seed: int
-) -> dict[tuple, list[tuple]]:
+    df: DataFrame, intervals: list[_Interval], fetch_rows: int, seed: int
+) -> dict[_Interval, pa.Table]:
     """About ``fetch_rows`` sorted rows of each interval, or all of a small one."""
-    names = list(dict.fromkeys(c for i in intervals.values() for c in i.columns))
-    flags = []
-    for number, interval in enumerate(intervals.values()):
-        flag = interval.holds(df)
+    names = list(dict.fromkeys(c for i in intervals for c in i.columns))
+    flags, wanted = {}, F.lit(False)
+    for number, interval in enumerate(intervals):
+        flags[f"in_{number}"] = interval.holds(df)
         if interval.size > fetch_rows:
-            flag = flag & (F.rand(seed + number) < fetch_rows / interval.size)
-        flags.append(flag.alias(f"in_{number}"))
-    wanted = F.lit(False)
-    for number in range(len(flags)):
+            # One draw a row serves all intervals: the rows of each are still random.
+            flags[f"in_{number}"] &= F.col("draw") < fetch_rows / interval.size
         wanted = wanted | F.col(f"in_{number}")
-    fetched = df.select(*names, *flags).filter(wanted).toArrow().to_pydict()
-    return {
-        key: sorted(
-            row
-            for row, kept in zip(
-                zip(*(fetched[c] for c in interval.columns)), fetched[f"in_{number}"]
-            )
-            if kept
-        )
-        for number, (key, interval) in enumerate(intervals.items())
-    }
+    drawn = df.select(*names).withColumn("draw", F.rand(seed))
+    fetched = drawn.select(*names, *(c.alias(n) for n, c in flags.items())).filter(wanted).toArrow()
+    samples = {}
+    for flag, interval in zip(flags, intervals):
+        rows = fetched.filter(pc.field(flag)).select(interval.columns)
+        samples[interval] = rows.sort_by([(c, "ascending") for c in interval.columns])
+    return samples
 
 
 def _count(
     df: DataFrame, pivots: dict[tuple, set[tuple]]
-) -> dict[tuple, list[tuple[tuple, int, int]]]:
-    """Sorted (pivot, rows before it, rows at or before it) of each ordering."""
+) -> dict[tuple, list[tuple[int, tuple]]]:
+    """Per ordering, its pivots in order, each after the number of rows up to it."""
     flat = [(columns, pivot) for columns, rows in pivots.items() for pivot in sorted(rows)]
-    measures = []
-    for number, (columns, pivot) in enumerate(flat):
-        measures.append(F.count_if(before(df, columns, pivot)).alias(f"lt_{number}"))
-        measures.append(F.count_if(at_or_before(df, columns, pivot)).alias(f"le_{number}"))
-    row = df.agg(*measures).first()
-    counts: dict[tuple, list[tuple[tuple, int, int]]] = {}
-    for number, (columns, pivot) in enumerate(flat):
-        counts.setdefault(columns, []).append((pivot, row[f"lt_{number}"], row[f"le_{number}"]))
+    counted = df.agg(*(
+        F.count_if(up_to(df, columns, pivot)).alias(f"n_{number}")
+        for number, (columns, pivot) in enumerate(flat)
+    )).first()
+    counts: dict[tuple, list[tuple[int, tuple]]] = {columns: [] for columns in pivots}
+    for (columns, pivot), count in zip(flat, counted):
+        counts[columns].append((count, pivot))
     return counts
-
-
-def _narrow(places, found, place, interval, counts) -> None:
-    """Settle ``place`` on a pivot or move it to the sub-interval between two."""
-    position = place[1]
-    known = counts.get(interval.columns, [])
-    index = bisect.bisect_right([at_or_before for _, _, at_or_before in known], position)
-    low, start = interval.low, interval.before
-    high, end = interval.high, interval.before + interval.size
-    if index < len(known):
-        pivot, rows_before, _ = known[index]
-        if rows_before <= position:
-            found[place] = pivot
-            return
-        if rows_before < end:
-            high, end = pivot, rows_before
-    if index > 0:
-        pivot, _, rows_through = known[index - 1]
-        if rows_through > start:
-            low, start = pivot, rows_through
-    places[place] = _Interval(interval.columns, low, high, start, end - start)

@@ -7,7 +7,7 @@ the quality jobs check against them. ``product_name_lenght`` and
 
 from __future__ import annotations
 
-from dataclasses import dataclass, fields
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -132,12 +132,12 @@ PUBLISHED_ROW_COUNTS: dict[str, int] = {
 }
 
 
-@dataclass(frozen=True)
 class Tables:
     """The eight tables as lazy DataFrames; every operator takes one of these.
 
     ``customers`` has one row per order (``customer_id``); a person is
-    ``customer_unique_id``. Ids may be of any orderable type.
+    ``customer_unique_id``. Ids may be of any orderable type. A table may be given as
+    a function that opens it, which is called when an operator first needs it.
     """
 
     customers: DataFrame
@@ -149,5 +149,18 @@ class Tables:
     order_reviews: DataFrame
     product_category_translation: DataFrame
 
+    def __init__(self, **tables: DataFrame | Callable[[], DataFrame]):
+        if set(tables) != set(SCHEMAS):
+            raise ValueError(f"expected the tables {', '.join(SCHEMAS)}")
+        self._tables = tables
+
+    def __getattr__(self, name: str) -> DataFrame:
+        if name not in SCHEMAS:
+            raise AttributeError(name)
+        table = self._tables[name]
+        if not isinstance(table, DataFrame):
+            table = self._tables[name] = table()
+        return table
+
     def items(self) -> list[tuple[str, DataFrame]]:
-        return [(f.name, getattr(self, f.name)) for f in fields(self)]
+        return [(name, getattr(self, name)) for name in SCHEMAS]

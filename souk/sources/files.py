@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Collection, Mapping
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -47,14 +48,15 @@ def read_csv(
 ) -> Tables:
     """All tables from CSV; ``paths`` maps table names to files or folders."""
     return Tables(**{
-        name: read_csv_table(spark, name, paths[name], name in multiline) for name in SCHEMAS
+        name: partial(read_csv_table, spark, name, paths[name], name in multiline)
+        for name in SCHEMAS
     })
 
 
 def read_parquet(spark: SparkSession, folder: str) -> Tables:
     """All tables as ``write_parquet`` left them."""
     return Tables(**{
-        name: spark.read.schema(schema).parquet(f"{folder}/{name}")
+        name: partial(spark.read.schema(schema).parquet, f"{folder}/{name}")
         for name, schema in SCHEMAS.items()
     })
 
@@ -83,4 +85,4 @@ def write_bucketed(t: Tables, database: str, buckets: int) -> None:
 
 def read_catalog(spark: SparkSession, database: str) -> Tables:
     """All tables of a catalog database."""
-    return Tables(**{name: spark.table(f"{database}.{name}") for name in SCHEMAS})
+    return Tables(**{name: partial(spark.table, f"{database}.{name}") for name in SCHEMAS})
