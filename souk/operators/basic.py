@@ -22,7 +22,8 @@ def top_products(t: Tables, k: int = 10) -> DataFrame:
     """The ``k`` products sold most often; equal ones by id."""
     return (
         t.order_items.groupBy("product_id")
-        .agg(F.count("*").alias("units_sold"), F.sum("price").alias("total_product_revenue"))
+        .agg(F.count("*").alias("units_sold"),
+             exact.money(F.sum(exact.cents("price"))).alias("total_product_revenue"))
         .orderBy(F.desc_nulls_first("units_sold"), F.asc_nulls_last("product_id"))
         .limit(k)
     )
@@ -93,20 +94,19 @@ def top_payments(t: Tables, k: int = 5) -> DataFrame:
 def state_revenue_summary(t: Tables) -> DataFrame:
     """Orders and payments per state; the average is per payment, not per order."""
     payments = t.order_payments.groupBy("order_id").agg(
-        F.sum("payment_value").alias("paid"),
+        F.sum(exact.cents("payment_value")).alias("paid"),
         F.count("*").alias("payments"),
         F.min("payment_value").alias("smallest"),
         F.max("payment_value").alias("largest"),
     )
-    paid = F.sum("paid").cast("decimal(20,2)")
     return (
         payments.join(t.orders.select("order_id", "customer_id"), "order_id")
         .join(t.customers.select("customer_id", "customer_state"), "customer_id")
         .groupBy("customer_state")
         .agg(
             F.count("*").alias("total_orders"),
-            paid.alias("total_revenue"),
-            exact.mean(paid, F.sum("payments"), 2, scale=2).alias("avg_payment"),
+            exact.money(F.sum("paid")).alias("total_revenue"),
+            exact.mean(F.sum("paid"), F.sum("payments"), 2, units=100).alias("avg_payment"),
             F.min("smallest").alias("min_payment"),
             F.max("largest").alias("max_payment"),
         )

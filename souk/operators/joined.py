@@ -103,8 +103,7 @@ def underperforming_sellers(
             F.count("*").alias("total_orders"),
             F.sum(rows).alias("items_sold"),
             F.sum(F.col("items") * F.col("score_sum")).alias("scores"),
-            F.sum(F.col("item_value") * F.col("reviews")).cast("decimal(20,2)")
-            .alias("total_revenue"),
+            exact.money(F.sum(F.col("item_cents") * F.col("reviews"))).alias("total_revenue"),
         )
         .filter(
             (F.col("items_sold") >= min_items)
@@ -134,12 +133,12 @@ def above_average_spenders(t: Tables, k: int = 20) -> DataFrame:
     # one behind the rows, so that Spark runs it once.
     average = spend.select(
         F.struct(
-            exact.quotient(F.sum("lifetime_spend"), F.count("*"), scale=2).alias("spend"),
+            exact.quotient(F.sum(exact.cents("lifetime_spend")), F.count("*")).alias("cents"),
             F.max("order_count"),
         )
     ).scalar()
     return (
-        spend.filter(F.col("lifetime_spend") > average.getField("spend"))
+        spend.filter(exact.cents("lifetime_spend") > average.getField("cents"))
         .orderBy(F.desc_nulls_first("lifetime_spend"), F.asc_nulls_last("customer_unique_id"))
         .limit(k)
     )
@@ -154,8 +153,11 @@ def order_value_tiers(t: Tables, bounds: Sequence[int] = (50, 200, 500)) -> Data
         f"High (R${middle}–{high})",
         f"Premium (>R${high})",
     ]
-    value = F.col("order_value")
-    tier = F.when(value < low, 0).when(value < middle, 1).when(value < high, 2).otherwise(3)
+    cents = F.col("order_cents")
+    tier = (
+        F.when(cents < low * 100, 0).when(cents < middle * 100, 1).when(cents < high * 100, 2)
+        .otherwise(3)
+    )
     rows = joined_rows()
     return (
         order_values(t)
@@ -164,7 +166,7 @@ def order_value_tiers(t: Tables, bounds: Sequence[int] = (50, 200, 500)) -> Data
         .groupBy(tier.alias("tier"))
         .agg(
             F.sum(rows).alias("order_count"),
-            exact.mean(F.sum(value * rows), F.sum(rows), 2, scale=2).alias("avg_order_value"),
+            exact.mean(F.sum(cents * rows), F.sum(rows), 2, units=100).alias("avg_order_value"),
             exact.mean(F.sum("score_sum"), F.sum("reviews"), 2).alias("avg_review_score"),
         )
         .orderBy("tier")
@@ -202,8 +204,7 @@ def seller_performance(t: Tables, min_items: int = 30) -> DataFrame:
             F.sum(rows).alias("items_sold"),
             F.count("*").alias("distinct_orders"),
             F.count_distinct("customer_unique_id").alias("unique_customers"),
-            F.sum(F.col("item_value") * joined_rows()).cast("decimal(20,2)")
-            .alias("total_revenue"),
+            exact.money(F.sum(F.col("item_cents") * joined_rows())).alias("total_revenue"),
             exact.mean(
                 F.sum(F.col("items") * F.col("score_sum")),
                 F.sum(F.col("items") * F.col("reviews")), 2,
@@ -217,9 +218,12 @@ def seller_performance(t: Tables, min_items: int = 30) -> DataFrame:
     )
     platform = metrics.select(
         F.struct(
-            exact.mean(F.sum("avg_review"), F.count("avg_review"), 2, scale=2).alias("review"),
             exact.mean(
-                F.sum("avg_delivery_delta_days"), F.count("avg_delivery_delta_days"), 1, scale=1
+                F.sum(F.col("avg_review") * 100), F.count("avg_review"), 2, units=100
+            ).alias("review"),
+            exact.mean(
+                F.sum(F.col("avg_delivery_delta_days") * 10),
+                F.count("avg_delivery_delta_days"), 1, units=10,
             ).alias("delta"),
         )
     ).scalar()

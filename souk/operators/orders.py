@@ -10,12 +10,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from souk.functions.exact import cents, money
 from souk.schema import Tables
 
 
 def order_values(t: Tables) -> DataFrame:
-    """``order_id, order_value``: what was paid per order."""
-    return t.order_payments.groupBy("order_id").agg(F.sum("payment_value").alias("order_value"))
+    """``order_id, order_cents``: what was paid per order."""
+    return t.order_payments.groupBy("order_id").agg(
+        F.sum(cents("payment_value")).alias("order_cents")
+    )
 
 
 def order_reviews(t: Tables) -> DataFrame:
@@ -34,14 +37,14 @@ def joined_rows() -> Column:
 
 
 def seller_orders(t: Tables) -> DataFrame:
-    """``seller_id, order_id, items, item_value``: a seller's share of an order."""
+    """``seller_id, order_id, items, item_cents``: a seller's share of an order."""
     return t.order_items.groupBy("seller_id", "order_id").agg(
-        F.count("*").alias("items"), F.sum("price").alias("item_value")
+        F.count("*").alias("items"), F.sum(cents("price")).alias("item_cents")
     )
 
 
 def paid_orders(t: Tables) -> DataFrame:
-    """``customer_unique_id, order_id, order_purchase_timestamp, order_value``."""
+    """``customer_unique_id, order_id, order_purchase_timestamp, order_cents``."""
     orders = t.orders.select("order_id", "customer_id", "order_purchase_timestamp")
     people = t.customers.select("customer_id", "customer_unique_id")
     return (
@@ -65,6 +68,6 @@ def customer_totals(t: Tables) -> DataFrame:
     """Per person: ``frequency`` paid orders, ``monetary`` paid, ``last_order_date``."""
     return paid_orders(t).groupBy("customer_unique_id").agg(
         F.count("*").alias("frequency"),
-        F.sum("order_value").cast("decimal(20,2)").alias("monetary"),
+        money(F.sum("order_cents")).alias("monetary"),
         F.max("order_purchase_timestamp").alias("last_order_date"),
     )

@@ -13,6 +13,10 @@ from souk.plans.slices import PERSON
 from souk.plans.tables import materialize
 
 
+def _mean_spend() -> Column:
+    return exact.mean(F.sum(exact.cents("monetary")), F.count("monetary"), 0, units=100)
+
+
 # --- segments -------------------------------------------------------------------------
 
 
@@ -21,7 +25,7 @@ def rfm_segment_counts(rfm: DataFrame) -> DataFrame:
         rfm.groupBy("segment")
         .agg(
             F.count("*").alias("count"),
-            exact.mean(F.sum("monetary"), F.count("monetary"), 0, scale=2).alias("avg_monetary"),
+            _mean_spend().alias("avg_monetary"),
         )
         .orderBy("count", "segment")
     )
@@ -31,7 +35,7 @@ def rfm_totals(people: DataFrame) -> DataFrame:
     """Number of people and mean spend; takes segments or plain customer totals."""
     return people.agg(
         F.count("*").alias("total"),
-        exact.mean(F.sum("monetary"), F.count("monetary"), 0, scale=2).alias("avg_monetary"),
+        _mean_spend().alias("avg_monetary"),
     )
 
 
@@ -40,7 +44,7 @@ def rfm_headline(rfm: DataFrame) -> DataFrame:
         F.count("*").alias("total_customers"),
         F.count_if(F.col("segment") == "Champions").alias("champions"),
         F.count_if(F.col("segment").isin(AT_RISK_GROUP)).alias("at_risk"),
-        exact.mean(F.sum("monetary"), F.count("monetary"), 0, scale=2).alias("avg_monetary"),
+        _mean_spend().alias("avg_monetary"),
     )
 
 
@@ -77,7 +81,7 @@ def _bucket(value: Column, low: Column, high: Column, bins: int) -> Column:
 
 def ltv_histogram(totals: DataFrame, bins: int = 50) -> DataFrame:
     """People per equal-width bin of lifetime value; empty bins are absent."""
-    cents = totals.select((F.col("monetary") * 100).cast("bigint").alias("cents"))
+    cents = totals.select(exact.cents("monetary").alias("cents"))
     bounds = cents.select(F.struct(F.min("cents").alias("low"), F.max("cents").alias("high")))
     low, high = F.col("bounds.low"), F.col("bounds.high")
 
@@ -104,10 +108,10 @@ def ltv_stats(totals: DataFrame, fetch_rows: int = FETCH_ROWS) -> DataFrame:
     size = people.count()
     middle = sorted({(size - 1) // 2, size // 2}) if size else []
     found = rows_at(people, {"value": (("monetary", PERSON), middle)}, size, fetch_rows)["value"]
-    total = F.lit(sum(value for value, _ in found)) if found else F.lit(None)
+    cents = F.lit(sum(int(value * 100) for value, _ in found) if found else None)
     return people.agg(
-        exact.mean(total, F.lit(max(1, len(found))), 0, scale=2).alias("median"),
-        exact.mean(F.sum("monetary"), F.count("monetary"), 0, scale=2).alias("mean"),
+        exact.mean(cents, F.lit(len(found)), 0, units=100).alias("median"),
+        _mean_spend().alias("mean"),
         F.round(F.max("monetary"), 0).cast("decimal(18,0)").alias("max"),
         F.count_if(F.col("frequency") > 1).alias("multi_order"),
     )
@@ -149,7 +153,8 @@ def cohort_headline(cohorts: DataFrame, min_size: int = 50) -> DataFrame:
     start, next_month = F.col("months_since") == 0, F.col("months_since") == 1
     kept = cohorts.filter(F.col("cohort_size") >= min_size)
     rate = exact.mean(
-        F.sum(F.when(next_month, F.col("retention_rate"))), F.count_if(next_month), 1, scale=2
+        F.sum(F.when(next_month, F.col("retention_rate") * 100)), F.count_if(next_month), 1,
+        units=100,
     )
     return kept.agg(
         F.count_if(start).alias("total_cohorts"),
@@ -172,8 +177,9 @@ def churn_headline(churn: DataFrame) -> DataFrame:
         exact.percent(everybody - churned, everybody, 0).alias("active_pct"),
         churned.alias("churned"),
         exact.percent(churned, everybody, 0).alias("churned_pct"),
-        exact.mean(F.sum("avg_days_between"), F.count("avg_days_between"), 0, scale=1)
-        .alias("avg_cadence_days"),
+        exact.mean(
+            F.sum(F.col("avg_days_between") * 10), F.count("avg_days_between"), 0, units=10
+        ).alias("avg_cadence_days"),
     )
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from souk.functions import exact
 from souk.operators.orders import paid_orders
 from souk.plans.slices import HOT_ROWS, PERSON, Timeline, earlier, has_hot_person
 from souk.schema import Tables
@@ -15,17 +16,17 @@ def customer_ltv(t: Tables, ordered: bool = False, hot_rows: int = HOT_ROWS) ->
     time = ["order_purchase_timestamp", "order_id"]
     line = Timeline(paid_orders(t), time, sliced=has_hot_person(t, hot_rows))
     rows = line.carry(
-        totals={"slice_value": F.sum("order_value"), "slice_orders": F.count("*")},
-        state={"value_before": earlier("slice_value"), "orders_before": earlier("slice_orders")},
+        totals={"slice_cents": F.sum("order_cents"), "slice_orders": F.count("*")},
+        state={"cents_before": earlier("slice_cents"), "orders_before": earlier("slice_orders")},
     )
     so_far = line.window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     result = rows.select(
         PERSON,
         "order_id",
         "order_purchase_timestamp",
-        F.col("order_value").cast("decimal(20,2)").alias("order_revenue"),
-        (F.sum("order_value").over(so_far) + F.coalesce("value_before", F.lit(0)))
-        .cast("decimal(20,2)").alias("cumulative_revenue"),
+        exact.money(F.col("order_cents")).alias("order_revenue"),
+        exact.money(F.sum("order_cents").over(so_far) + F.coalesce("cents_before", F.lit(0)))
+        .alias("cumulative_revenue"),
         (F.row_number().over(line.window) + F.coalesce("orders_before", F.lit(0)))
         .cast("bigint").alias("order_sequence"),
     )

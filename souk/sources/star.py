@@ -50,6 +50,12 @@ def _zip(key: str) -> Column:
     return F.lpad((F.col(key) % 100000).cast("string"), 5, "0")
 
 
+def _amount(column: str) -> Column:
+    """A double that holds whole cents as money; quicker than Spark's cast by way of text."""
+    cents = F.rint(F.col(column) * 100).cast("bigint")
+    return (cents.cast("decimal(10,0)") * F.lit("0.01").cast("decimal(2,2)")).cast(MONEY)
+
+
 def _customers(orders: DataFrame, customer: DataFrame, nations: DataFrame) -> DataFrame:
     people = customer.join(nations, customer.c_nationkey == nations.n_nationkey)
     return orders.join(people, orders.o_custkey == people.c_custkey).select(
@@ -134,8 +140,8 @@ def _items(lines: DataFrame) -> DataFrame:
         F.col("l_partkey").alias("product_id"),
         F.col("l_suppkey").alias("seller_id"),
         F.col("l_shipdate").alias("shipping_limit_date"),
-        F.col("l_extendedprice").cast(MONEY).alias("price"),
-        F.col("l_quantity").cast(MONEY).alias("freight_value"),
+        _amount("l_extendedprice").alias("price"),
+        _amount("l_quantity").alias("freight_value"),
     )
 
 
