@@ -1,0 +1,109 @@
+"""Files in and out."""
+
+import pytest
+
+from souk.operators import basic
+from souk.operators.orders import customer_totals, paid_orders
+from souk.operators.views import VIEWS, register_views
+from souk.plans import tables as scratch
+from souk.schema import SCHEMAS, Tables
+from souk.sources import files
+from souk.sources.star import read_star
+from tests.tiny import rows
+
+
+def test_csv_edges(spark, tmp_path):
+    (tmp_path / "reviews.csv").write_text(
+        '"review_id","order_id","review_score","review_comment_title","review_comment_message",'
+        '"review_creation_date","review_answer_timestamp"\n'
+        'r1,o1,5,"","two\nlines, and ""quotes""",2018-01-01 00:00:00,2018-01-02 03:04:05\n'
+        'r1,o2,1,,plain,2018-01-01 00:00:00,2018-01-02 00:00:00\n', encoding="utf-8")
+    reviews = files.read_csv_table(spark, "order_reviews", str(tmp_path / "reviews.csv"))
+    assert rows(reviews, "review_id", "order_id", "review_score", "review_comment_title",
+                "review_comment_message") == [
+        ("r1", "o1", 5, "", 'two\nlines, and "quotes"'), ("r1", "o2", 1, None, "plain"),
+    ]
+    (tmp_path / "customers.csv").write_text(
+        "customer_id,customer_unique_id,customer_zip_code_prefix,customer_city,customer_state\n"
+        "c,p,01234,são paulo,SP\n", encoding="utf-8")
+    customers = files.read_csv_table(spark, "customers", str(tmp_path / "customers.csv"))
+    assert rows(customers) == [("c", "p", "01234", "são paulo", "SP")]
+    (tmp_path / "products.csv").write_text(
+        ",".join(SCHEMAS["products"].names) + "\np,,,,,,,,\n")
+    products = files.read_csv_table(spark, "products", str(tmp_path / "products.csv"))
+    assert rows(products) == [("p",) + (None,) * 8]
+
+
+def test_csv_line_break_where_none_is_expected_fails(spark, tmp_path):
+    (tmp_path / "customers.csv").write_text(
+        "customer_id,customer_unique_id,customer_zip_code_prefix,customer_city,customer_state\n"
+        'c,p,01234,"são\npaulo",SP\n', encoding="utf-8")
+    path = str(tmp_path / "customers.csv")
+    with pytest.raises(Exception, match="MALFORMED"):
+        files.read_csv_table(spark, "customers", path).collect()
+    assert files.read_csv_table(spark, "customers", path, multiline=True).count() == 1
+
+
+def _as_text(t):
+    """Tables with text ids, as files have them."""
+    return Tables(**{
+        name: df.select(*(df[f.name].cast(f.dataType) for f in SCHEMAS[name]))
+        for name, df in t.items()
+    })
+
+
+def test_csv_to_parquet_round_trip(spark, tmp_path):
+    t = _as_text(read_star(spark, f"{_testdata()}/sf0.001"))
+    for name, df in t.items():
+        df.write.options(header=True, escape='"', emptyValue='""', timestampNTZFormat=
+                         "yyyy-MM-dd HH:mm:ss").csv(str(tmp_path / "csv" / name))
+    loaded = files.read_csv(spark, {name: str(tmp_path / "csv" / name) for name in SCHEMAS})
+    files.write_parquet(loaded, str(tmp_path / "parquet"))
+    files.write_parquet(loaded, str(tmp_path / "parquet"))  # replaces
+    again = files.read_parquet(spark, str(tmp_path / "parquet"))
+    for name, df in t.items():
+        assert [(f.name, f.dataType) for f in getattr(again, name).schema] == [
+            (f.name, f.dataType) for f in SCHEMAS[name]]
+        assert getattr(again, name).exceptAll(df).count() == 0
+        assert getattr(again, name).count() == df.count()
+    assert rows(basic.state_revenue_summary(again)) == rows(basic.state_revenue_summary(t))
+
+
+def _testdata():
+    from tests.conftest import TESTDATA
+    return TESTDATA
+
+
+def test_bucketed_tables_join_orders_without_shuffling_them(spark, sf_dir):
+    t = _as_text(read_star(spark, sf_dir))
+    files.write_bucketed(t, "shop", 8)
+    files.write_bucketed(t, "shop", 8)  # replaces
+    stored = files.read_catalog(spark, "shop")
+    assert rows(customer_totals(stored)) == rows(customer_totals(t))
+    broadcast = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        text = paid_orders(stored)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    # Payments, orders and customers lie in their buckets; the joined orders move once.
+    assert text.count("Exchange") == 1 and "Exchange hashpartitioning(customer_id" in text
+
+
+def test_views_read_from_sql(spark, sf_dir):
+    t = read_star(spark, sf_dir)
+    register_views(t)
+    for name in VIEWS:
+        assert spark.sql(f"SELECT * FROM {name}").count() > 0
+    assert spark.table("orders").count() == t.orders.count()
+
+
+def test_tables_must_be_complete(spark):
+    with pytest.raises(ValueError):
+        Tables(orders=spark.range(1))
+
+
+def test_scratch_folder_is_the_one_the_session_names(spark):
+    folder = spark.conf.get("spark.checkpoint.dir")
+    assert scratch.scratch_folder(spark) == folder
+    assert f"{folder}/souk-" in scratch.materialize(spark.range(3)).inputFiles()[0]
