@@ -142,6 +142,8 @@ def test_invariants(star):
     assert headline.active + headline.churned == headline.repeat_customers == churn.count()
     assert (summaries.churn_histogram(churn).agg(F.sum("customers")).first()[0]
             == headline.repeat_customers)
+    totals.unpersist()
+    churn.unpersist()
     share = basic.review_distribution(star).agg(F.sum("pct_of_total")).first()[0]
     assert abs(share - 100) <= Decimal("0.5")
 
