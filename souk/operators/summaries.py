@@ -81,7 +81,8 @@ def _bucket(value: Column, low: Column, high: Column, bins: int) -> Column:
 
 def ltv_histogram(totals: DataFrame, bins: int = 50) -> DataFrame:
     """People per equal-width bin of lifetime value; empty bins are absent."""
-    cents = totals.select(exact.cents("monetary").alias("cents"))
+    # Written once: the bounds and the rows both read it.
+    cents = materialize(totals.select(exact.cents("monetary").alias("cents")))
     bounds = cents.select(F.struct(F.min("cents").alias("low"), F.max("cents").alias("high")))
     low, high = F.col("bounds.low"), F.col("bounds.high")
 
@@ -185,15 +186,12 @@ def churn_headline(churn: DataFrame) -> DataFrame:
 
 def churn_histogram(churn: DataFrame, bins: int = 50) -> DataFrame:
     """People per bin of days since the last order, by status; bins span least to most."""
-    days = churn.groupBy("days_since_last", "is_churned").agg(F.count("*").alias("people"))
-    # Reading the counts too keeps the shuffle behind the bounds the same as the one behind
-    # the rows, so that Spark runs it once.
+    # Written once, at most two rows per day of the calendar: bounds and rows both read it.
+    days = materialize(
+        churn.groupBy("days_since_last", "is_churned").agg(F.count("*").alias("people"))
+    )
     bounds = days.select(
-        F.struct(
-            F.min("days_since_last").alias("low"),
-            F.max("days_since_last").alias("high"),
-            F.count_if("is_churned"), F.sum("people"),
-        )
+        F.struct(F.min("days_since_last").alias("low"), F.max("days_since_last").alias("high"))
     )
     bucket = _bucket(
         F.col("days_since_last"), F.col("bounds.low"), F.col("bounds.high") + 1, bins

@@ -315,6 +315,17 @@ def oracles() -> dict[str, str]:
     everybody = "count(*)"
     churned = "count(*) FILTER (WHERE is_churned)"
     active = "count(*) FILTER (WHERE NOT is_churned)"
+    details = f"""
+        SELECT order_id, order_purchase_timestamp, order_status, customer_unique_id,
+            customer_state, order_item_id, product_id,
+            coalesce(product_category_name_english, product_category_name, 'unknown')
+                AS product_category_english,
+            {_money('price_cents', 10)} AS price, {_money('freight_cents', 10)}
+                AS freight_value, review_score
+        FROM m_items JOIN m_orders USING (order_id) JOIN m_customers USING (customer_id)
+        JOIN m_products USING (product_id)
+        LEFT JOIN m_translation USING (product_category_name)
+        LEFT JOIN m_reviews USING (order_id)"""
     bodies = {
         "total_revenue": f"SELECT {_money('sum(cents)')} AS total_revenue FROM m_payments",
         "total_orders": "SELECT count(DISTINCT order_id) AS total_orders FROM m_orders",
@@ -356,19 +367,10 @@ def oracles() -> dict[str, str]:
             SELECT review_score, n AS review_count,
                 {_round('n * 100', '(SELECT count(*) FROM m_reviews)', 1)} AS pct_of_total
             FROM (SELECT review_score, count(*) AS n FROM m_reviews GROUP BY 1)""",
-        "order_details": f"""
-            SELECT order_id, order_purchase_timestamp, order_status, customer_unique_id,
-                customer_state, order_item_id, product_id,
-                coalesce(product_category_name_english, product_category_name, 'unknown')
-                    AS product_category_english,
-                {_money('price_cents', 10)} AS price, {_money('freight_cents', 10)}
-                    AS freight_value, review_score
-            FROM m_items JOIN m_orders USING (order_id) JOIN m_customers USING (customer_id)
-            JOIN m_products USING (product_id)
-            LEFT JOIN m_translation USING (product_category_name)
-            LEFT JOIN m_reviews USING (order_id)
+        "order_details": f"""{details}
             ORDER BY order_purchase_timestamp DESC, order_id, order_item_id, review_score,
                 product_id, price, freight_value LIMIT 20""",
+        "order_details_full": details,
         "underperforming_sellers": f"""
             SELECT seller_id, count(DISTINCT order_id) AS total_orders, count(*) AS items_sold,
                 {_round('sum(review_score)', 'count(*)', 2)} AS avg_review_score,

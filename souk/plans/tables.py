@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,9 +24,12 @@ def scratch_folder(spark: SparkSession) -> str:
     master = spark.conf.get("spark.master", "")
     if not master.startswith("local"):
         raise ValueError(f"set {SETTING} to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="souk-")
-    spark.conf.set(SETTING, folder)
-    return folder
+    return _local_folder()
+
+
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="souk-")
 
 
 def materialize(df: DataFrame) -> DataFrame:

@@ -103,6 +103,20 @@ def test_tables_must_be_complete(spark):
         Tables(orders=spark.range(1))
 
 
+class _Session:
+    """A session whose settings are only these."""
+
+    def __init__(self, **settings):
+        self.conf = {key.replace("_", "."): value for key, value in settings.items()}
+
+
+def test_scratch_folder_of_a_session_that_names_none():
+    local = scratch.scratch_folder(_Session(spark_master="local[2]"))
+    assert local == scratch.scratch_folder(_Session(spark_master="local[4]"))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch.scratch_folder(_Session(spark_master="k8s://cluster"))
+
+
 def test_scratch_folder_is_the_one_the_session_names(spark):
     folder = spark.conf.get("spark.checkpoint.dir")
     assert scratch.scratch_folder(spark) == folder
