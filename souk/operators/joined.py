@@ -38,7 +38,7 @@ def order_details(t: Tables, k: int | None = 20) -> DataFrame:
     if k is None:
         return _details(t, t.orders)
     newest_first = [F.desc_nulls_first("order_purchase_timestamp"), F.asc_nulls_last("order_id")]
-    newest = t.orders.orderBy(*newest_first).limit(max(1000, 4 * k))
+    newest = t.orders.orderBy(*newest_first).limit(max(100, 4 * k))
     enough = _items_of(t, newest, t.products.select("product_id")).limit(k).count() == k
     return (
         _details(t, newest if enough else t.orders)

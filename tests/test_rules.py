@@ -95,7 +95,7 @@ def test_reviews_repeat_items(spark):
 
 def test_details_reach_past_newest_orders_without_items(spark):
     newest = [{"order_id": f"n{i}", "customer_id": f"n{i}",
-               "order_purchase_timestamp": NOON + timedelta(days=i)} for i in range(1100)]
+               "order_purchase_timestamp": NOON + timedelta(days=i)} for i in range(150)]
     t = tables(
         spark, orders=[{"order_id": "old", "customer_id": "c",
                         "order_purchase_timestamp": NOON}, *newest],
