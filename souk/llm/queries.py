@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from souk.llm import bpe, contamination, language, tokens
 from souk.llm.ngram_join import ngram_join
 
+TOKENIZER = "byte_bpe_multi_50k.tiktoken"
+
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
@@ -17,8 +21,36 @@ def op3_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_join(_table(spark, folder, "documents"))
 
 
+def op4_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").withColumn("held_out", language.held_out())
+    model = language.train(docs.filter("NOT held_out"))
+    return language.predict(docs.select("doc_id", "held_out", "text"), model).select(
+        "doc_id", "held_out", "lang_pred", "score"
+    )
+
+
+def op5_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    ranks = public_tokenizers.path(TOKENIZER)
+    return bpe.digests(bpe.decode(bpe.encode(_table(spark, folder, "documents"), ranks), ranks))
+
+
+def op9_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return contamination.contaminated(
+        _table(spark, folder, "documents"), _table(spark, folder, "benchmark")
+    )
+
+
+def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    return tokens.histogram(bpe.encode(docs, public_tokenizers.path(TOKENIZER)))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
+    "op4_language_id": op4_language_id,
+    "op5_byte_bpe": op5_byte_bpe,
+    "op9_benchmark_decontamination": op9_benchmark_decontamination,
+    "op10_token_counts": op10_token_counts,
 }
 
 ORACLES: dict[str, str] = {}
