@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from souk.llm import bpe, contamination, language, tokens
+from souk.llm import bpe, contamination, language, licenses, secrets, tokens
 from souk.llm.ngram_join import ngram_join
 
 TOKENIZER = "byte_bpe_multi_50k.tiktoken"
@@ -34,6 +34,14 @@ def op5_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.digests(bpe.decode(bpe.encode(_table(spark, folder, "documents"), ranks), ranks))
 
 
+def op7_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return secrets.digests(secrets.scan(_table(spark, folder, "documents")))
+
+
+def op8_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.digests(licenses.scan(_table(spark, folder, "documents")))
+
+
 def op9_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return contamination.contaminated(
         _table(spark, folder, "documents"), _table(spark, folder, "benchmark")
@@ -49,8 +57,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
     "op4_language_id": op4_language_id,
     "op5_byte_bpe": op5_byte_bpe,
+    "op7_secret_scan": op7_secret_scan,
+    "op8_license_scan": op8_license_scan,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
     "op10_token_counts": op10_token_counts,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op7_secret_scan": secrets.ORACLE}
