@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from souk.llm import bpe, contamination, language, licenses, secrets, tokens
+from souk.llm import ann, bpe, contamination, language, licenses, repeats, secrets, tokens, tools
 from souk.llm.ngram_join import ngram_join
 
 TOKENIZER = "byte_bpe_multi_50k.tiktoken"
@@ -17,6 +18,14 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_tool_calls(spark: SparkSession, folder: str) -> DataFrame:
+    return tools.linked_turns(_table(spark, folder, "conversations"))
+
+
+def op2_multi_index_hashing(spark: SparkSession, folder: str) -> DataFrame:
+    return ann.nearest(_table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op3_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_join(_table(spark, folder, "documents"))
 
@@ -34,6 +43,10 @@ def op5_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.digests(bpe.decode(bpe.encode(_table(spark, folder, "documents"), ranks), ranks))
 
 
+def op6_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return repeats.digests(repeats.repeated(_table(spark, folder, "documents")))
+
+
 def op7_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.digests(secrets.scan(_table(spark, folder, "documents")))
 
@@ -54,13 +67,19 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_tool_calls": op1_tool_calls,
+    "op2_multi_index_hashing": op2_multi_index_hashing,
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
     "op4_language_id": op4_language_id,
     "op5_byte_bpe": op5_byte_bpe,
+    "op6_suffix_dedup": op6_suffix_dedup,
     "op7_secret_scan": op7_secret_scan,
     "op8_license_scan": op8_license_scan,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
     "op10_token_counts": op10_token_counts,
 }
 
-ORACLES: dict[str, str] = {"op7_secret_scan": secrets.ORACLE}
+ORACLES: dict[str, str] = {
+    "op1_tool_calls": tools.ORACLE,
+    "op7_secret_scan": secrets.ORACLE,
+}
