@@ -96,6 +96,12 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     return rows.mapInArrow(partial(_predict, sent=sent, text_col=text_col), schema)
 
 
+def predict_beside(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """``predict`` with each row of ``docs`` as the struct ``row``, whatever its columns."""
+    rows = docs.select(F.struct(*(F.col(f"`{n}`") for n in docs.columns)).alias("row"))
+    return predict(rows.withColumn("text", F.col("row")[text_col]), model).drop("text")
+
+
 def _predict(batches: Iterator[pa.RecordBatch], sent, text_col: str) -> Iterator[pa.RecordBatch]:
     model = sent.value
     for batch, texts in slices(batches, text_col, _SLICE):

@@ -37,6 +37,9 @@ from souk.plans.tables import materialize
 
 BLOCK = 512
 PIVOTS = 16
+#: Shingles in more sets than this, or than eight times what a counter holds on average,
+#: are ordered by their rough count.
+OFTEN = 1000
 _FLUSH = 1 << 20  # packed entries a task holds before it sends them
 
 
@@ -84,6 +87,28 @@ def ngram_join(
     )
 
 
+def one_of_each(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 75
+) -> DataFrame:
+    """The rows of ``docs`` without near copies: of each group the smallest id stays.
+
+    Of rows that repeat that id one stays. NULL ids come last. Texts without words are
+    copies of nothing and stay. All columns are kept as they are.
+    """
+    names = docs.columns
+    rows = docs.select(F.struct(*(F.col(f"`{n}`") for n in names)).alias("row")).select(
+        F.struct(
+            F.col("row")[id_col].isNull().alias("unnamed"), F.col("row")[id_col].alias("id"),
+            F.monotonically_increasing_id().alias("number"),
+        ).alias("key"), "row", F.col("row")[text_col].alias("text"),
+    )
+    joined = ngram_join(rows.select("key", "text"), "key", "text", percent)
+    copies = joined.filter("n_shingles > 0 AND key != component_id").select(
+        F.col("key").alias("copy"))
+    return rows.join(copies, F.col("key") == F.col("copy"), "left_anti").select(
+        *(F.col("row")[n].alias(n) for n in names))
+
+
 def _keyed(docs: DataFrame) -> DataFrame:
     return docs.select("id", F.xxhash64("text").alias("key"), "text")
 
@@ -236,10 +261,23 @@ def _wanted_sets(batches: Iterator[pa.RecordBatch], wanted) -> Iterator[pa.Recor
 def _edges(sets, percent: int, block: int) -> DataFrame:
     """Spanning edges (a, b) of the links between different sets."""
     spark = sets.sparkSession
-    frequency = spark.sparkContext.broadcast(column_counts(sets, "tokens"))
-    prefixes = sets.select("set", "tokens").mapInArrow(
-        partial(_prefixes, percent=percent, frequency=frequency), "token long, set long"
+    total = sets.agg(F.sum("n")).first()[0] or 0
+    rough = spark.sparkContext.broadcast(column_counts(sets, "tokens"))
+    often = max(OFTEN, 8 * total // len(rough.value.counts))
+    parts = partitions_for(spark, total, 2_000_000)
+    rare = sets.select("set", "tokens").mapInArrow(
+        partial(_send_rare, rough=rough, often=often, parts=parts),
+        "part int, tokens binary, sets binary",
+    ).groupBy("part").applyInArrow(_frequencies, "set long, tokens binary, counts binary")
+    common = sets.select("set", "n", "tokens").mapInArrow(
+        partial(_common, percent=percent, rough=rough, often=often),
+        "set long, n long, held long, tokens binary, counts binary",
     )
+    ordered = rare.withColumns({"n": F.lit(0), "held": F.lit(0)}).unionByName(common)
+    prefixes = ordered.groupBy("set").agg(
+        F.sum("n").alias("n"), F.sum("held").alias("held"),
+        F.collect_list("tokens").alias("tokens"), F.collect_list("counts").alias("counts"),
+    ).mapInArrow(partial(_prefixes, percent=percent), "token long, set long")
     leaders = prefixes.groupBy("token").agg(
         F.min("set").alias("leader"), F.count("*").alias("times")
     ).filter("times > 1").select("token", "leader")
@@ -291,17 +329,90 @@ def _edges(sets, percent: int, block: int) -> DataFrame:
     return materialize(first.unionByName(second))
 
 
-def _prefixes(
-    batches: Iterator[pa.RecordBatch], percent: int, frequency
+def _send_rare(
+    batches: Iterator[pa.RecordBatch], rough, often: int, parts: int
 ) -> Iterator[pa.RecordBatch]:
+    """Shingles that are not common, with their sets, packed by hash partition."""
     for batch in batches:
-        out, names = [], []
-        for name, packed in zip(batch.column("set").to_pylist(), batch.column("tokens").to_pylist()):
+        tokens, names = _unpacked(batch)
+        kept = rough.value.of(tokens) <= often
+        tokens, names = tokens[kept], names[kept]
+        part = _part(tokens, parts)
+        order = np.argsort(part, kind="stable")
+        tokens, names = tokens[order], names[order]
+        edges = np.searchsorted(part[order], np.arange(parts + 1))
+        full = np.flatnonzero(np.diff(edges))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(full, pa.int32()),
+             *(pa.array([x[edges[p]:edges[p + 1]].tobytes() for p in full], pa.binary())
+               for x in (tokens, names))],
+            ["part", "tokens", "sets"],
+        )
+
+
+def _unpacked(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    packed = batch.column("tokens").to_pylist()
+    tokens = np.frombuffer(b"".join(packed), np.uint64)
+    names = np.repeat(batch.column("set").to_numpy(), [len(p) // 8 for p in packed])
+    return tokens, names
+
+
+def _frequencies(group: pa.Table) -> pa.Table:
+    """For each set, those of its shingles here that another set has too, and in how many."""
+    tokens = np.frombuffer(b"".join(group.column("tokens").to_pylist()), np.uint64)
+    names = np.frombuffer(b"".join(group.column("sets").to_pylist()), np.int64)
+    _, where, times = np.unique(tokens, return_inverse=True, return_counts=True)
+    times = times[where]
+    shared = times > 1
+    tokens, names, times = tokens[shared], names[shared], times[shared]
+    order = np.argsort(names, kind="stable")
+    tokens, names, times = tokens[order], names[order], times[order]
+    sets, first = np.unique(names, return_index=True)
+    edges = np.append(first, len(names))
+    return pa.table({
+        "set": sets,
+        "tokens": pa.array([tokens[a:b].tobytes() for a, b in zip(edges, edges[1:])], pa.binary()),
+        "counts": pa.array([times[a:b].tobytes() for a, b in zip(edges, edges[1:])], pa.binary()),
+    })
+
+
+def _common(
+    batches: Iterator[pa.RecordBatch], percent: int, rough, often: int
+) -> Iterator[pa.RecordBatch]:
+    """Each set's size, its number of common shingles, and as many as a prefix could take."""
+    for batch in batches:
+        rows = []
+        for name, packed in zip(*(batch.column(c).to_pylist() for c in ("set", "tokens"))):
             tokens = np.frombuffer(packed, np.uint64)
-            keep = int(slack(np.int64(len(tokens)), percent)) + 1
-            order = np.lexsort((tokens, frequency.value.of(tokens)))[:keep]
-            out.append(tokens[order])
-            names.append(np.full(len(order), name, np.int64))
+            times = rough.value.of(tokens).astype(np.int64)
+            hot = np.flatnonzero(times > often)
+            most = int(slack(np.int64(len(tokens)), percent)) + 1
+            order = hot[np.lexsort((tokens[hot], times[hot]))][:most]
+            rows.append((name, len(tokens), len(hot), tokens[order].tobytes(),
+                         (times[order] + (1 << 40)).tobytes()))  # after all that are not
+        if rows:
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, k) for c, k in zip(zip(*rows), kinds)],
+                ["set", "n", "held", "tokens", "counts"],
+            )
+
+
+def _prefixes(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """The shared shingles in each set's prefix. Those that no other set has come first in
+    the order and lead to nobody."""
+    for batch in batches:
+        out, names = [], []
+        columns = (batch.column(c).to_pylist() for c in ("set", "n", "held", "tokens", "counts"))
+        for name, n, held, tokens, counts in zip(*columns):
+            tokens = np.frombuffer(b"".join(tokens), np.uint64)
+            counts = np.frombuffer(b"".join(counts), np.int64)
+            alone = n - held - int((counts < 1 << 40).sum())
+            keep = int(slack(np.int64(n), percent)) + 1 - alone
+            if keep > 0:
+                order = np.lexsort((tokens, counts))[:keep]
+                out.append(tokens[order])
+                names.append(np.full(len(order), name, np.int64))
         if out:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.concatenate(out).view(np.int64)), pa.array(np.concatenate(names))],
