@@ -184,6 +184,8 @@ def _search(queries: pa.Table, index: pa.Table, codes: Codes, k: int) -> pa.Tabl
         lengths = np.sqrt((vectors * vectors).sum(axis=1))
         unit = _unit(vectors)
         held = Index(codes.of(unit))
+        # Rows that repeat an id must not crowd others out; one more, as a query finds itself.
+        enough = (k + 1) * int(np.unique(ids, return_counts=True)[1].max())
         asked, names = _matrix(queries.column("vector")), queries.column("id").to_numpy()
         same, which = np.unique(asked, axis=0, return_inverse=True)
         turned = _unit(same)
@@ -191,8 +193,7 @@ def _search(queries: pa.Table, index: pa.Table, codes: Codes, k: int) -> pa.Tabl
         for number in range(len(same)):  # copies of a vector ask once
             radius = codes.radius
             places = held.within(sketch[number], radius)
-            # One more than k, as a query may find itself.
-            while len(places) <= k and radius < sketch.shape[1] * _SUBSTRING:
+            while len(places) < enough and radius < sketch.shape[1] * _SUBSTRING:
                 radius = min(2 * radius + 1, sketch.shape[1] * _SUBSTRING)
                 places = held.within(sketch[number], radius)
             for query in names[which == number].tolist():
@@ -200,12 +201,13 @@ def _search(queries: pa.Table, index: pa.Table, codes: Codes, k: int) -> pa.Tabl
                 if not len(others):
                     continue
                 rough = unit[others] @ turned[number]
-                if len(others) > k:
-                    least = np.partition(rough, len(rough) - k)[len(rough) - k]
+                if len(others) > enough:
+                    least = np.partition(rough, len(rough) - enough)[len(rough) - enough]
                     others = others[rough >= least - 1e-9]
                 score = (vectors[others] * same[number]).sum(axis=1) / (
                     lengths[others] * np.sqrt((same[number] * same[number]).sum()))
-                first = np.lexsort((ids[others], -score))[:k]
+                first = np.lexsort((ids[others], -score))
+                first = first[np.sort(np.unique(ids[others[first]], return_index=True)[1])][:k]
                 out[0] += [query] * len(first)
                 out[1] += ids[others[first]].tolist()
                 out[2] += score[first].tolist()
