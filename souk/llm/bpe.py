@@ -27,7 +27,7 @@ from pyspark.sql.types import StructType
 from souk.llm.language import code_points
 from souk.llm.text import Fingerprints, Texts, slices
 
-CACHE_PIECES = 400_000
+CACHE_PIECES = 250_000
 LONG_PIECE = 256
 _NONE = np.int64(1 << 40)
 

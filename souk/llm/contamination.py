@@ -34,7 +34,7 @@ def contaminated(
     item_col: str = "item_id", item_text_col: str = "text", percent: int = 75,
     block_hashes: int = BLOCK_HASHES,
 ) -> DataFrame:
-    """Rows (id, item_ids, containment), one per row of ``docs``, in its order.
+    """Rows (id, item_ids, containment), one per row of ``docs``, in no order.
 
     ``item_ids`` are the distinct ids of the items it contains, ascending; ``containment``
     the largest share of an item's distinct shingles found in it, of those items, else 0.

@@ -1,6 +1,6 @@
 """Whole texts as numpy arrays: bytes, words, shingles and window fingerprints.
 
-A task handles the texts of an Arrow batch in slices of a few megabytes, so that its
+A task handles the texts of an Arrow batch in slices of about a megabyte, so that its
 memory does not depend on how many rows a batch holds. Fingerprints are 64-bit
 polynomials over the bytes, read off prefix sums: any substring costs a subtraction and
 a product. Equal strings always have equal fingerprints; different ones collide with a
@@ -10,13 +10,12 @@ chance of about 2**-64 a pair.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 3 << 20
+SLICE_BYTES = 1 << 20
 SHINGLE_WORDS = 5
 
 _SPACES = np.zeros(256, bool)
@@ -99,8 +98,13 @@ class Fingerprints:
         return mixed(difference * self._inverses[:count])
 
 
-@lru_cache(maxsize=8)
+_POLYNOMIALS: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
+
+
 def _polynomial(seed: int, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Values of bytes, powers of the base and their inverses; the longest asked is kept."""
+    if seed in _POLYNOMIALS and len(_POLYNOMIALS[seed][1]) >= size:
+        return _POLYNOMIALS[seed]
     draw = np.random.default_rng(1_000_003 + seed)
     table = draw.integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
     base = int(draw.integers(1 << 40, 1 << 62)) * 8 + 5  # generates the odd residues
@@ -114,7 +118,8 @@ def _polynomial(seed: int, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarra
             more = min(filled, size - filled)
             out[filled:filled + more] = out[:more] * step
             filled += more
-    return table, powers, inverses
+    _POLYNOMIALS[seed] = table, powers, inverses
+    return _POLYNOMIALS[seed]
 
 
 class Words:
