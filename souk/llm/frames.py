@@ -7,20 +7,16 @@ from dataclasses import dataclass
 from functools import partial
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BITMAP_BITS = 27
-COUNTER_BITS = 21
+COUNTER_BITS = 19
 _PAGE = 1 << 12
 
 
-def partitions_for(spark: SparkSession, rows: int, rows_each: int) -> int:
-    """Partitions of about ``rows_each`` rows, and no fewer than the session's default."""
-    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-int(rows) // rows_each))
-
-
 def grouped(function: Callable[..., pa.Table], **fixed) -> Callable[[pa.Table], pa.Table]:
     """``function`` with some arguments fixed, typed as ``applyInArrow`` wants it."""
 
@@ -58,6 +54,17 @@ def bitmap(keys: DataFrame, column: str, bits: int = BITMAP_BITS) -> Bitmap:
     return Bitmap(out.reshape(-1), (1 << bits) - 1)
 
 
+def holds(spark: SparkSession, keys: Bitmap) -> Callable[[Column], Column]:
+    """Whether a key may be one of ``keys``: a filter that only the key passes through."""
+    sent = spark.sparkContext.broadcast(keys)
+
+    @F.pandas_udf("boolean")
+    def held(column: pd.Series) -> pd.Series:
+        return pd.Series(sent.value.holds(column.to_numpy()))
+
+    return held
+
+
 @dataclass(frozen=True)
 class Counters:
     """How often a hash occurs, at least as often as it does: hashes share counters."""
@@ -82,7 +89,7 @@ def column_counts(rows: DataFrame, column: str, bits: int = COUNTER_BITS) -> Cou
 def _count_pages(
     batches: Iterator[pa.RecordBatch], column: str, bits: int
 ) -> Iterator[pa.RecordBatch]:
-    counts = np.zeros(1 << bits, np.int64)
+    counts = np.zeros(1 << bits, np.int64)  # of one task: well within 32 bits a counter
     for batch in batches:
         for packed in batch.column(column).to_pylist():
             hashes = np.frombuffer(packed, np.uint64)
@@ -90,7 +97,8 @@ def _count_pages(
     pages = counts.reshape(-1, _PAGE)
     full = np.flatnonzero(pages.any(axis=1))
     yield pa.RecordBatch.from_arrays(
-        [pa.array(full, pa.int32()), pa.array([pages[p].tobytes() for p in full], pa.binary())],
+        [pa.array(full, pa.int32()),
+         pa.array([pages[p].astype(np.uint32).tobytes() for p in full], pa.binary())],
         ["page", "counts"],
     )
 
@@ -98,7 +106,7 @@ def _count_pages(
 def _sum_pages(group: pa.Table) -> pa.Table:
     total = np.zeros(_PAGE, np.int64)
     for counts in group.column("counts").to_pylist():
-        total += np.frombuffer(counts, np.int64)
+        total += np.frombuffer(counts, np.uint32)
     return pa.table({
         "page": group.column("page").slice(0, 1).combine_chunks(),
         "counts": pa.array([total.tobytes()], pa.binary()),

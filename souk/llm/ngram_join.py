@@ -31,12 +31,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from souk.llm.components import components
-from souk.llm.frames import bitmap, column_counts, grouped, partitions_for
+from souk.llm.frames import bitmap, column_counts, grouped, holds
 from souk.llm.text import SHINGLE_WORDS, Words, mixed, slices
 from souk.plans.tables import materialize
 
 BLOCK = 512
 PIVOTS = 16
+#: Packed shingles that one task takes of a shuffle.
+PART_ENTRIES = 2_000_000
 #: Shingles in more sets than this, or than eight times what a counter holds on average,
 #: are ordered by their rough count.
 OFTEN = 1000
@@ -136,7 +138,7 @@ def _sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _survivors(docs, sizes, classes, percent: int) -> DataFrame:
     """Rows (set, key) of sets that may have a link to another set."""
     total = sizes.agg(F.sum("n")).first()[0] or 0
-    parts = partitions_for(docs.sparkSession, total * (100 - percent + 10) // 100, 2_000_000)
+    parts = max(1, -(-total * (100 - percent + 10) // 100 // PART_ENTRIES))
     packed = docs.select("text").mapInArrow(
         partial(_send, percent=percent, parts=parts), "part int, tokens binary, sets binary"
     )
@@ -264,20 +266,18 @@ def _edges(sets, percent: int, block: int) -> DataFrame:
     total = sets.agg(F.sum("n")).first()[0] or 0
     rough = spark.sparkContext.broadcast(column_counts(sets, "tokens"))
     often = max(OFTEN, 8 * total // len(rough.value.counts))
-    parts = partitions_for(spark, total, 2_000_000)
+    parts = max(1, -(-total // PART_ENTRIES))
+    packed = "part int, sets binary, tokens binary, counts binary, sizes binary, held binary"
     rare = sets.select("set", "tokens").mapInArrow(
         partial(_send_rare, rough=rough, often=often, parts=parts),
         "part int, tokens binary, sets binary",
-    ).groupBy("part").applyInArrow(_frequencies, "set long, tokens binary, counts binary")
-    common = sets.select("set", "n", "tokens").mapInArrow(
-        partial(_common, percent=percent, rough=rough, often=often),
-        "set long, n long, held long, tokens binary, counts binary",
+    ).groupBy("part").applyInArrow(grouped(_frequencies, parts=parts), packed)
+    common = sets.select("set", "tokens").mapInArrow(
+        partial(_common, percent=percent, rough=rough, often=often, parts=parts), packed
     )
-    ordered = rare.withColumns({"n": F.lit(0), "held": F.lit(0)}).unionByName(common)
-    prefixes = ordered.groupBy("set").agg(
-        F.sum("n").alias("n"), F.sum("held").alias("held"),
-        F.collect_list("tokens").alias("tokens"), F.collect_list("counts").alias("counts"),
-    ).mapInArrow(partial(_prefixes, percent=percent), "token long, set long")
+    prefixes = materialize(rare.unionByName(common).groupBy("part").applyInArrow(
+        grouped(_prefixes, percent=percent), "token long, set long"
+    ))
     leaders = prefixes.groupBy("token").agg(
         F.min("set").alias("leader"), F.count("*").alias("times")
     ).filter("times > 1").select("token", "leader")
@@ -295,6 +295,9 @@ def _edges(sets, percent: int, block: int) -> DataFrame:
     placed = dealt.select(
         "leader", "set", "blocks", F.explode(F.when(pivot, whole).otherwise(own)).alias("block")
     )
+    # Most sets share no prefix with another: those stay where they are.
+    linked = holds(spark, bitmap(dealt, "set"))
+    sets = sets.filter(linked(F.col("set"))).select("set", "tokens")
     first = materialize(
         placed.join(sets, "set").groupBy("leader", "block")
         .applyInArrow(grouped(_link_block, percent=percent), "a long, b long")
@@ -357,67 +360,97 @@ def _unpacked(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     return tokens, names
 
 
-def _frequencies(group: pa.Table) -> pa.Table:
-    """For each set, those of its shingles here that another set has too, and in how many."""
+def _packed(
+    part: np.ndarray, parts: int, columns: list[np.ndarray], place: int
+) -> list[tuple]:
+    """Rows (part, five cells) of entries: ``columns`` fill the cells from ``place`` on."""
+    order = np.argsort(part, kind="stable")
+    edges = np.searchsorted(part[order], np.arange(parts + 1))
+    rows = []
+    for p in np.flatnonzero(np.diff(edges)).tolist():
+        cells = [b""] * 5
+        for number, column in enumerate(columns):
+            cells[0 if number == 0 else place + number - 1] = column[order[edges[p]:edges[p + 1]]].tobytes()
+        rows.append((p, *cells))
+    return rows
+
+
+_PACKED = ["part", "sets", "tokens", "counts", "sizes", "held"]
+
+
+def _as_batch(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = (pa.int32(), *[pa.binary()] * 5)
+    columns = zip(*rows) if rows else [[]] * 6
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], _PACKED)
+
+
+def _frequencies(group: pa.Table, parts: int) -> pa.Table:
+    """Shingles here that several sets have, with the sets and how many, packed by set."""
     tokens = np.frombuffer(b"".join(group.column("tokens").to_pylist()), np.uint64)
     names = np.frombuffer(b"".join(group.column("sets").to_pylist()), np.int64)
     _, where, times = np.unique(tokens, return_inverse=True, return_counts=True)
     times = times[where]
     shared = times > 1
     tokens, names, times = tokens[shared], names[shared], times[shared]
-    order = np.argsort(names, kind="stable")
-    tokens, names, times = tokens[order], names[order], times[order]
-    sets, first = np.unique(names, return_index=True)
-    edges = np.append(first, len(names))
-    return pa.table({
-        "set": sets,
-        "tokens": pa.array([tokens[a:b].tobytes() for a, b in zip(edges, edges[1:])], pa.binary()),
-        "counts": pa.array([times[a:b].tobytes() for a, b in zip(edges, edges[1:])], pa.binary()),
-    })
+    return pa.Table.from_batches([_as_batch(_packed(
+        _part(names.view(np.uint64), parts), parts, [names, tokens, times.astype(np.uint32)], 1))])
 
 
 def _common(
-    batches: Iterator[pa.RecordBatch], percent: int, rough, often: int
+    batches: Iterator[pa.RecordBatch], percent: int, rough, often: int, parts: int
 ) -> Iterator[pa.RecordBatch]:
-    """Each set's size, its number of common shingles, and as many as a prefix could take."""
+    """Each set's size and number of common shingles, and as many as a prefix could take.
+
+    Their counts are rough ones above all that are not common.
+    """
     for batch in batches:
-        rows = []
-        for name, packed in zip(*(batch.column(c).to_pylist() for c in ("set", "tokens"))):
+        names = batch.column("set").to_numpy()
+        sizes, held = np.zeros(len(names), np.int64), np.zeros(len(names), np.int64)
+        kept, times_of = [], []
+        for number, packed in enumerate(batch.column("tokens").to_pylist()):
             tokens = np.frombuffer(packed, np.uint64)
-            times = rough.value.of(tokens).astype(np.int64)
+            times = rough.value.of(tokens)
             hot = np.flatnonzero(times > often)
-            most = int(slack(np.int64(len(tokens)), percent)) + 1
-            order = hot[np.lexsort((tokens[hot], times[hot]))][:most]
-            rows.append((name, len(tokens), len(hot), tokens[order].tobytes(),
-                         (times[order] + (1 << 40)).tobytes()))  # after all that are not
-        if rows:
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(zip(*rows), kinds)],
-                ["set", "n", "held", "tokens", "counts"],
-            )
+            sizes[number], held[number] = len(tokens), len(hot)
+            order = hot[np.lexsort((tokens[hot], times[hot]))]
+            order = order[:int(slack(sizes[number], percent)) + 1]
+            kept.append(tokens[order])
+            times_of.append(times[order].astype(np.uint32) | _COMMON)
+        if not len(names):
+            continue
+        part = _part(names.view(np.uint64), parts)
+        rows = _packed(part, parts, [names, sizes, held], 3)
+        owner = np.repeat(np.arange(len(names)), [len(k) for k in kept])
+        rows += _packed(
+            part[owner], parts, [names[owner], np.concatenate(kept), np.concatenate(times_of)], 1)
+        yield _as_batch(rows)
+
 
+_COMMON = np.uint32(1 << 31)
 
-def _prefixes(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+
+def _prefixes(group: pa.Table, percent: int) -> pa.Table:
     """The shared shingles in each set's prefix. Those that no other set has come first in
     the order and lead to nobody."""
-    for batch in batches:
-        out, names = [], []
-        columns = (batch.column(c).to_pylist() for c in ("set", "n", "held", "tokens", "counts"))
-        for name, n, held, tokens, counts in zip(*columns):
-            tokens = np.frombuffer(b"".join(tokens), np.uint64)
-            counts = np.frombuffer(b"".join(counts), np.int64)
-            alone = n - held - int((counts < 1 << 40).sum())
-            keep = int(slack(np.int64(n), percent)) + 1 - alone
-            if keep > 0:
-                order = np.lexsort((tokens, counts))[:keep]
-                out.append(tokens[order])
-                names.append(np.full(len(order), name, np.int64))
-        if out:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(out).view(np.int64)), pa.array(np.concatenate(names))],
-                ["token", "set"],
-            )
+    def column(name: str, kind, wanted: str) -> np.ndarray:
+        return np.frombuffer(b"".join(
+            cell for cell, w in zip(group.column(name).to_pylist(), group.column(wanted).to_pylist()) if w
+        ), kind)
+
+    names, sizes = column("sets", np.int64, "sizes"), column("sizes", np.int64, "sizes")
+    held = column("held", np.int64, "sizes")
+    owner, tokens = column("sets", np.int64, "tokens"), column("tokens", np.uint64, "tokens")
+    times = column("counts", np.uint32, "tokens")
+    order = np.argsort(names)
+    names, sizes, held = names[order], sizes[order], held[order]
+    which = np.searchsorted(names, owner)
+    rare = np.bincount(which[times < _COMMON], minlength=len(names))
+    keep = slack(sizes, percent) + 1 - (sizes - held - rare)
+    order = np.lexsort((tokens, times, which))
+    which, tokens = which[order], tokens[order]
+    first = np.searchsorted(which, np.arange(len(names)))
+    chosen = np.arange(len(which)) - first[which] < keep[which]
+    return pa.table({"token": tokens[chosen].view(np.int64), "set": names[which[chosen]]})
 
 
 def _link_block(group: pa.Table, percent: int) -> pa.Table:

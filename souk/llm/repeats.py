@@ -21,16 +21,15 @@ documents is nobody's task.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from functools import partial
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from souk.llm.frames import Bitmap, bitmap
+from souk.llm.frames import bitmap, holds
 from souk.llm.text import Fingerprints, Texts, mixed, slices
 from souk.plans.tables import materialize
 
@@ -58,7 +57,7 @@ def repeated(
         F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")
     ).withColumn("key", F.xxhash64("text"))
     strings = materialize(_repeated_strings(docs, size))
-    wanted = _holds(docs.sparkSession, bitmap(strings, "key"))
+    wanted = holds(docs.sparkSession, bitmap(strings, "key"))
     marks = strings.groupBy(F.col("key").alias("marked")).agg(
         F.collect_list(F.struct("at", "count")).alias("marks")
     )
@@ -83,17 +82,6 @@ def digests(rows: DataFrame, id_col: str = "doc_id") -> DataFrame:
     )
 
 
-def _holds(spark: SparkSession, keys: Bitmap) -> Callable[[Column], Column]:
-    """Whether a key may be one of ``keys``: a filter that only the key passes through."""
-    sent = spark.sparkContext.broadcast(keys)
-
-    @F.pandas_udf("boolean")
-    def holds(column: pd.Series) -> pd.Series:
-        return pd.Series(sent.value.holds(column.to_numpy()))
-
-    return holds
-
-
 def _repeated_strings(docs: DataFrame, size: int) -> DataFrame:
     """Rows (key, at, count): strings that start at ``at`` and the next ``count - 1`` bytes
     of the text named ``key`` occur elsewhere."""
@@ -119,7 +107,7 @@ def _repeated_strings(docs: DataFrame, size: int) -> DataFrame:
     ).agg(F.collect_list(F.struct(
         F.col("core"), F.col("first.place").alias("place"), (F.col("times") == 1).alias("open")
     )).alias("places")))
-    wanted = _holds(docs.sparkSession, bitmap(asked, "asked"))
+    wanted = holds(docs.sparkSession, bitmap(asked, "asked"))
     texts = docs.select("key", "text").filter(wanted(F.col("key")))
     steps = materialize(
         texts.join(asked, F.col("key") == F.col("asked"))
