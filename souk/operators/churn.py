@@ -10,23 +10,19 @@ from pyspark.sql import functions as F
 from souk.functions import exact
 from souk.functions.calendar import whole_days
 from souk.operators.orders import last_purchase, placed_orders
-from souk.plans.slices import HOT_ROWS, PERSON, Timeline, has_hot_person, previous
+from souk.plans.slices import PERSON, Timeline, previous
 from souk.schema import Tables
 
 
 def churn_risk(
-    t: Tables, factor: float | Decimal = Decimal("1.5"), ordered: bool = False,
-    hot_rows: int = HOT_ROWS,
+    t: Tables, factor: float | Decimal = Decimal("1.5"), ordered: bool = False
 ) -> DataFrame:
     """People with two orders or more; churned when silent beyond ``factor`` mean gaps.
 
     Silence is measured at the latest purchase of all orders.
     """
     bought = F.col("order_purchase_timestamp")
-    line = Timeline(
-        placed_orders(t), ["order_purchase_timestamp", "order_id"],
-        sliced=has_hot_person(t, hot_rows),
-    )
+    line = Timeline(placed_orders(t), ["order_purchase_timestamp", "order_id"])
     rows = line.carry(
         totals={"slice_last": F.max("order_purchase_timestamp")},
         state={"last_before": previous("slice_last")},

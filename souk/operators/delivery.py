@@ -46,7 +46,7 @@ def delivery_performance(t: Tables, extremes: bool = True) -> DataFrame:
         .agg(
             F.sum(rows).alias("order_count"),
             exact.mean(F.sum(F.col("delta") * rows), F.sum(rows), 1).alias("avg_delta_days"),
-            exact.mean(F.sum("score_sum"), F.sum("reviews"), 2).alias("avg_review_score"),
+            exact.mean(F.sum("score_sum"), F.sum("scores"), 2).alias("avg_review_score"),
             F.min("score_min").cast("decimal(18,2)").alias("min_review"),
             F.max("score_max").cast("decimal(18,2)").alias("max_review"),
             F.min("delta").alias("earliest"),

@@ -22,9 +22,14 @@ def order_values(t: Tables) -> DataFrame:
 
 
 def order_reviews(t: Tables) -> DataFrame:
-    """``order_id, reviews, score_sum, score_min, score_max`` of reviewed orders."""
+    """``order_id, reviews, scores, score_sum, score_min, score_max`` of reviewed orders.
+
+    ``reviews`` repeat an order's rows; only the ``scores`` among them that are not NULL
+    count in a mean.
+    """
     return t.order_reviews.groupBy("order_id").agg(
         F.count("*").alias("reviews"),
+        F.count("review_score").alias("scores"),
         F.sum("review_score").alias("score_sum"),
         F.min("review_score").alias("score_min"),
         F.max("review_score").alias("score_max"),
@@ -37,8 +42,12 @@ def joined_rows() -> Column:
 
 
 def seller_orders(t: Tables) -> DataFrame:
-    """``seller_id, order_id, items, item_cents``: a seller's share of an order."""
-    return t.order_items.groupBy("seller_id", "order_id").agg(
+    """``seller_id, order_id, items, item_cents``: a seller's share of an order.
+
+    Items are dealt by order, which serves this aggregate and any join by order after it.
+    """
+    items = t.order_items.select("seller_id", "order_id", "price").repartition("order_id")
+    return items.groupBy("seller_id", "order_id").agg(
         F.count("*").alias("items"), F.sum(cents("price")).alias("item_cents")
     )
 

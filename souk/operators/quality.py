@@ -17,13 +17,17 @@ def _stack(frames: list[DataFrame]) -> DataFrame:
 
 
 def row_count_validation(t: Tables, expected: Mapping[str, int] | None = None) -> DataFrame:
-    """Rows per table beside the number expected."""
+    """Rows per table beside the number expected, and whether they match.
+
+    ``expected`` defaults to the published dataset's counts; a table it lacks has NULLs.
+    """
     wanted = PUBLISHED_ROW_COUNTS if expected is None else expected
     return _stack([
         df.agg(
             F.lit(name).alias("table_name"),
             F.count("*").alias("row_count"),
             F.lit(wanted.get(name)).cast("bigint").alias("expected"),
+            (F.count("*") == F.lit(wanted.get(name)).cast("bigint")).alias("matches"),
         )
         for name, df in t.items()
     ]).orderBy("table_name")

@@ -2,20 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from souk.functions.calendar import whole_days
 from souk.operators.orders import customer_totals, last_purchase
-from souk.plans.selection import FETCH_ROWS, before, rows_at
+from souk.plans.rank import ranked, tile
 from souk.plans.slices import PERSON
 from souk.plans.tables import materialize
 from souk.schema import Tables
 
 # Segment, then the (lowest, highest) score it takes of recency, frequency and money;
-# None leaves that end open. The first that fits wins. Fixed values.
+# None leaves that end open. The first that fits wins. Fixed values, as is the group below.
 SEGMENTS = [
     ("Champions", (4, None), (4, None), (4, None)),
     ("Can't Lose Them", (None, 2), (4, None), (4, None)),
@@ -47,32 +45,11 @@ def segment(r: Column, f: Column, m: Column) -> Column:
     return name.otherwise(OTHERS)
 
 
-def bucket_starts(size: int, buckets: int) -> list[int]:
-    """Positions where the second and later of ``buckets`` equal parts of ``size`` begin.
-
-    The first parts take the remainder, one row each; parts beyond ``size`` are left out.
-    """
-    each, left = divmod(size, buckets)
-    starts = [number * each + min(number, left) for number in range(1, buckets)]
-    return [start for start in starts if start < size]
-
-
-def ntile(df: DataFrame, columns: Sequence[str], starts: Sequence[tuple]) -> Column:
-    """Bucket number of a row, given the first row of each bucket but the first."""
-    bucket = F.lit(len(starts) + 1)
-    for number in range(len(starts), 0, -1):
-        bucket = F.when(before(df, columns, starts[number - 1]), number).otherwise(bucket)
-    return bucket
-
-
-def rfm_segments(
-    t: Tables, buckets: int = 5, ordered: bool = False, fetch_rows: int = FETCH_ROWS
-) -> DataFrame:
+def rfm_segments(t: Tables, buckets: int = 5, ordered: bool = False) -> DataFrame:
     """People with a paid order, scored one to ``buckets`` on each measure.
 
-    Equal values are split between buckets by person id. Buckets are found by
-    selecting their first rows, so no task ever sorts all people; scoring is then a
-    projection over the written totals.
+    Equal values are split between buckets by person id. A person's three positions
+    meet in one aggregate, so no task ever sorts all people.
     """
     people = materialize(
         customer_totals(t).select(
@@ -82,16 +59,12 @@ def rfm_segments(
             "monetary",
         )
     )
-    size = people.count()
-    starts = bucket_starts(size, buckets)
     measures = ["recency_days", "frequency", "monetary"]
-    cuts = rows_at(
-        people, {m: ((m, PERSON), starts) for m in measures}, size, fetch_rows
-    )
-    scores = {m: ntile(people, (m, PERSON), cuts[m]) for m in measures}
-    scored = people.withColumns({
-        "r_score": (F.lit(buckets + 1) - scores["recency_days"]).cast("int"),
-        "f_score": scores["frequency"].cast("int"),
-        "m_score": scores["monetary"].cast("int"),
-    }).withColumn("segment", segment(F.col("r_score"), F.col("f_score"), F.col("m_score")))
+    bucket, measure = tile(buckets), F.col("measure")
+    scored = ranked(people, PERSON, measures).groupBy(PERSON).agg(
+        *(F.max(m).alias(m) for m in measures),
+        F.max(F.when(measure == 0, F.lit(buckets + 1) - bucket)).cast("int").alias("r_score"),
+        F.max(F.when(measure == 1, bucket)).cast("int").alias("f_score"),
+        F.max(F.when(measure == 2, bucket)).cast("int").alias("m_score"),
+    ).withColumn("segment", segment(F.col("r_score"), F.col("f_score"), F.col("m_score")))
     return scored.orderBy(F.desc_nulls_first("monetary"), PERSON) if ordered else scored

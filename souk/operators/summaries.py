@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from souk.functions import exact
 from souk.operators.delivery import EARLY, VERY_LATE
 from souk.operators.rfm import AT_RISK_GROUP
-from souk.plans.selection import FETCH_ROWS, rows_at
+from souk.plans.rank import ranked
 from souk.plans.slices import PERSON
 from souk.plans.tables import materialize
 
@@ -51,18 +51,19 @@ def rfm_headline(rfm: DataFrame) -> DataFrame:
 def rfm_sample(rfm: DataFrame, n: int = 5000, seed: int = 42) -> DataFrame:
     """``n`` people at random: those whose seeded hash sorts first, the same every time.
 
-    All but about ``2 n`` people are left out by hash beforehand, so that the tasks of a
-    large table do not each offer ``n`` rows to the final sort.
+    People are counted by the first digits of their hash, and only those up to the smallest
+    digits that hold ``n`` are sorted, so that the tasks of a large table do not each offer
+    ``n`` rows to the final sort.
     """
     draw = F.md5(F.concat(F.lit(f"{seed}:"), F.col(PERSON).cast("string")))
-    drawn = rfm.withColumn("draw", draw)
-    total = rfm.count()
-    if total > 4 * n:
-        limit = F.lit(f"{int(2 * n / total * 16**8):08x}")
-        likely = drawn.filter(F.col("draw") < limit)
-        if likely.count() >= n:
-            drawn = likely
-    return drawn.orderBy("draw", PERSON).limit(n).select(
+    drawn = rfm.withColumns({"draw": draw, "digits": F.substring(draw, 1, 4)})
+    # 16**4 rows at most, whatever the number of people.
+    sizes = drawn.groupBy("digits").agg(F.count("*").alias("held")).withColumn(
+        "before", F.sum("held").over(
+            Window.orderBy("digits").rowsBetween(Window.unboundedPreceding, -1))
+    )
+    last = sizes.filter(F.coalesce("before", F.lit(0)) < n).select(F.max("digits")).scalar()
+    return drawn.filter(F.col("digits") <= last).orderBy("draw", PERSON).limit(n).select(
         "recency_days", "frequency", "monetary", "r_score", "f_score", "m_score", "segment"
     )
 
@@ -81,8 +82,7 @@ def _bucket(value: Column, low: Column, high: Column, bins: int) -> Column:
 
 def ltv_histogram(totals: DataFrame, bins: int = 50) -> DataFrame:
     """People per equal-width bin of lifetime value; empty bins are absent."""
-    # Written once: the bounds and the rows both read it.
-    cents = materialize(totals.select(exact.cents("monetary").alias("cents")))
+    cents = totals.select(exact.cents("monetary").alias("cents"))
     bounds = cents.select(F.struct(F.min("cents").alias("low"), F.max("cents").alias("high")))
     low, high = F.col("bounds.low"), F.col("bounds.high")
 
@@ -103,15 +103,16 @@ def ltv_histogram(totals: DataFrame, bins: int = 50) -> DataFrame:
     )
 
 
-def ltv_stats(totals: DataFrame, fetch_rows: int = FETCH_ROWS) -> DataFrame:
+def ltv_stats(totals: DataFrame) -> DataFrame:
     """Exact median, mean and largest lifetime value, and people with several orders."""
     people = materialize(totals.select(PERSON, "monetary", "frequency"))
-    size = people.count()
-    middle = sorted({(size - 1) // 2, size // 2}) if size else []
-    found = rows_at(people, {"value": (("monetary", PERSON), middle)}, size, fetch_rows)["value"]
-    cents = F.lit(sum(int(value * 100) for value, _ in found) if found else None)
+    size, position = F.col("size"), F.col("position")
+    middle = (position == F.floor((size - 1) / 2)) | (position == F.floor(size / 2))
+    median = ranked(people, PERSON, ["monetary"]).filter(middle).select(
+        exact.mean(F.sum(exact.cents("monetary")), F.count("*"), 0, units=100)
+    ).scalar()
     return people.agg(
-        exact.mean(cents, F.lit(len(found)), 0, units=100).alias("median"),
+        F.max(median).alias("median"),
         _mean_spend().alias("mean"),
         F.round(F.max("monetary"), 0).cast("decimal(18,0)").alias("max"),
         F.count_if(F.col("frequency") > 1).alias("multi_order"),
@@ -186,10 +187,8 @@ def churn_headline(churn: DataFrame) -> DataFrame:
 
 def churn_histogram(churn: DataFrame, bins: int = 50) -> DataFrame:
     """People per bin of days since the last order, by status; bins span least to most."""
-    # Written once, at most two rows per day of the calendar: bounds and rows both read it.
-    days = materialize(
-        churn.groupBy("days_since_last", "is_churned").agg(F.count("*").alias("people"))
-    )
+    # At most two rows per day of the calendar; bounds and rows share the shuffle.
+    days = churn.groupBy("days_since_last", "is_churned").agg(F.count("*").alias("people"))
     bounds = days.select(
         F.struct(F.min("days_since_last").alias("low"), F.max("days_since_last").alias("high"))
     )

@@ -7,14 +7,14 @@ from pyspark.sql import functions as F
 
 from souk.functions import exact
 from souk.operators.orders import paid_orders
-from souk.plans.slices import HOT_ROWS, PERSON, Timeline, earlier, has_hot_person
+from souk.plans.slices import PERSON, Timeline, earlier
 from souk.schema import Tables
 
 
-def customer_ltv(t: Tables, ordered: bool = False, hot_rows: int = HOT_ROWS) -> DataFrame:
+def customer_ltv(t: Tables, ordered: bool = False) -> DataFrame:
     """Paid orders in purchase order per person, equal times by order id."""
     time = ["order_purchase_timestamp", "order_id"]
-    line = Timeline(paid_orders(t), time, sliced=has_hot_person(t, hot_rows))
+    line = Timeline(paid_orders(t), time)
     rows = line.carry(
         totals={"slice_cents": F.sum("order_cents"), "slice_orders": F.count("*")},
         state={"cents_before": earlier("slice_cents"), "orders_before": earlier("slice_orders")},

@@ -1,4 +1,9 @@
-"""The five customer and delivery results by name."""
+"""The five customer and delivery results by name.
+
+Two are live: registering them runs nothing, and each read sees the tables as they are.
+The other three rest on written intermediates, as their windows span all people; they are
+snapshots, made and renewed by ``refresh_views``.
+"""
 
 from __future__ import annotations
 
@@ -13,18 +18,27 @@ from souk.operators.rfm import rfm_segments
 from souk.operators.value import customer_ltv
 from souk.schema import Tables
 
-VIEWS: dict[str, Callable[[Tables], DataFrame]] = {
+# Names of the views, fixed values.
+LIVE_VIEWS: dict[str, Callable[[Tables], DataFrame]] = {
     "v_cohort_retention": cohort_retention,
+    "v_delivery_performance": lambda t: delivery_performance(t, extremes=False),
+}
+SNAPSHOT_VIEWS: dict[str, Callable[[Tables], DataFrame]] = {
     "v_clv": customer_ltv,
     "v_rfm_segments": rfm_segments,
     "v_churn_risk": churn_risk,
-    "v_delivery_performance": lambda t: delivery_performance(t, extremes=False),
 }
 
 
 def register_views(t: Tables) -> None:
-    """Make the results, and the tables themselves, readable from SQL."""
+    """Make the tables and the live results readable from SQL. Runs no job."""
     for name, df in t.items():
         df.createOrReplaceTempView(name)
-    for name, view in VIEWS.items():
+    for name, view in LIVE_VIEWS.items():
         view(t).createOrReplaceTempView(name)
+
+
+def refresh_views(t: Tables, *names: str) -> None:
+    """Make or renew snapshots, all unless named, from the tables as they are now."""
+    for name in names or SNAPSHOT_VIEWS:
+        SNAPSHOT_VIEWS[name](t).createOrReplaceTempView(name)

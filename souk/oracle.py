@@ -6,9 +6,93 @@ joins fan out as they may, and rounding is integer arithmetic.
 
 from __future__ import annotations
 
-from souk.operators import delivery, joined
-from souk.operators.rfm import OTHERS, SEGMENTS
-from souk.schema import FOREIGN_KEYS, PUBLISHED_ROW_COUNTS, SCHEMAS, UNIQUE_KEYS
+# What follows is spelled out here and not taken from the operators, so that a wrong rule
+# there can't match itself. Fixed values.
+
+# Segment; lowest and highest score of recency, frequency and money. The first that fits.
+_SEGMENTS = """
+    (0, 'Champions', 4, 5, 4, 5, 4, 5),
+    (1, 'Can''t Lose Them', 1, 2, 4, 5, 4, 5),
+    (2, 'Need Attention', 3, 3, 3, 3, 3, 3),
+    (3, 'At Risk', 1, 2, 3, 5, 3, 5),
+    (4, 'Loyal Customers', 1, 5, 3, 5, 3, 5),
+    (5, 'Potential Loyalists', 3, 5, 2, 5, 2, 5),
+    (6, 'New Customers', 4, 5, 1, 2, 1, 5),
+    (7, 'Promising', 3, 5, 1, 2, 1, 2),
+    (8, 'Lost', 1, 1, 1, 1, 1, 1),
+    (9, 'About to Sleep', 2, 2, 2, 5, 1, 5),
+    (10, 'Hibernating', 1, 2, 1, 2, 1, 5)"""
+
+_KEYS = {
+    "customers": ["customer_id"],
+    "orders": ["order_id"],
+    "products": ["product_id"],
+    "sellers": ["seller_id"],
+    "order_items": ["order_id", "order_item_id"],
+    "order_reviews": ["review_id"],
+    "product_category_translation": ["product_category_name"],
+}
+
+_REFERENCES = [
+    ("orders", "customer_id", "customers"),
+    ("order_items", "order_id", "orders"),
+    ("order_items", "product_id", "products"),
+    ("order_items", "seller_id", "sellers"),
+    ("order_payments", "order_id", "orders"),
+    ("order_reviews", "order_id", "orders"),
+]
+
+_NOT_NULL = {
+    "customers": [
+        "customer_id", "customer_unique_id", "customer_zip_code_prefix", "customer_city",
+        "customer_state",
+    ],
+    "orders": ["order_id", "customer_id", "order_status", "order_purchase_timestamp"],
+    "products": ["product_id"],
+    "sellers": ["seller_id", "seller_zip_code_prefix", "seller_city", "seller_state"],
+    "order_items": [
+        "order_id", "order_item_id", "product_id", "seller_id", "shipping_limit_date",
+        "price", "freight_value",
+    ],
+    "order_payments": [
+        "order_id", "payment_sequential", "payment_type", "payment_installments",
+        "payment_value",
+    ],
+    "order_reviews": [
+        "review_id", "order_id", "review_score", "review_creation_date",
+        "review_answer_timestamp",
+    ],
+    "product_category_translation": ["product_category_name", "product_category_name_english"],
+}
+
+_LENGTHS = {
+    "customers": {
+        "customer_id": 32, "customer_unique_id": 32, "customer_zip_code_prefix": 10,
+        "customer_city": 100, "customer_state": 2,
+    },
+    "orders": {
+        "order_id": 32, "customer_id": 32, "order_status": 20,
+    },
+    "products": {
+        "product_id": 32, "product_category_name": 100,
+    },
+    "sellers": {
+        "seller_id": 32, "seller_zip_code_prefix": 10, "seller_city": 100, "seller_state":
+        2,
+    },
+    "order_items": {
+        "order_id": 32, "product_id": 32, "seller_id": 32,
+    },
+    "order_payments": {
+        "order_id": 32, "payment_type": 30,
+    },
+    "order_reviews": {
+        "review_id": 32, "order_id": 32,
+    },
+    "product_category_translation": {
+        "product_category_name": 100, "product_category_name_english": 100,
+    },
+}
 
 _CTES = {
     "m_orders": """
@@ -86,9 +170,9 @@ _CTES = {
             ntile(5) OVER (ORDER BY orders, customer_unique_id) AS f,
             ntile(5) OVER (ORDER BY cents, customer_unique_id) AS m
         FROM totals, today""",
-    "rules": "SELECT * FROM (VALUES {rules}) AS x(rank, label, r1, r2, f1, f2, m1, m2)",
+    "rules": f"SELECT * FROM (VALUES {_SEGMENTS}) AS x(rank, label, r1, r2, f1, f2, m1, m2)",
     "segments": f"""
-        SELECT scored.*, coalesce(arg_min(label, rank), '{OTHERS}') AS segment
+        SELECT scored.*, coalesce(arg_min(label, rank), 'Others') AS segment
         FROM scored LEFT JOIN rules ON r BETWEEN r1 AND r2 AND f BETWEEN f1 AND f2
             AND m BETWEEN m1 AND m2
         GROUP BY ALL""",
@@ -125,8 +209,8 @@ _CTES = {
     "delivered": f"""
         SELECT order_id, CAST(extract(day FROM (order_delivered_customer_date
                 - order_estimated_delivery_date)) AS INTEGER) AS delta, review_score,
-            CASE WHEN delta < 0 THEN '{delivery.EARLY}' WHEN delta = 0 THEN '{delivery.ON_TIME}'
-                WHEN delta <= 7 THEN '{delivery.LATE}' ELSE '{delivery.VERY_LATE}' END AS bucket
+            CASE WHEN delta < 0 THEN 'Early' WHEN delta = 0 THEN 'On-Time'
+                WHEN delta <= 7 THEN 'Late (1–7 days)' ELSE 'Late (>7 days)' END AS bucket
         FROM m_orders LEFT JOIN m_reviews USING (order_id)
         WHERE order_status = 'delivered' AND order_delivered_customer_date IS NOT NULL""",
     "by_delivery": """
@@ -157,19 +241,6 @@ def _money(cents: str, precision: int = 20) -> str:
     )
 
 
-def _rules() -> str:
-    rows = []
-    for rank, (label, *ranges) in enumerate(SEGMENTS):
-        ends = [
-            str(end if end is not None else default)
-            for pair in ranges for end, default in zip(pair, (1, 5))
-        ]
-        quoted = label.replace("'", "''")
-        rows.append(f"({rank}, '{quoted}', {', '.join(ends)})")
-    return ", ".join(rows)
-
-
-_CTES["rules"] = _CTES["rules"].format(rules=_rules())
 _CTES["cohorts"] = _CTES["cohorts"].format(rate=_round("count(*) * 100", "size", 2))
 _CTES["cadence"] = _CTES["cadence"].format(gap=_round("sum(gap)", "count(gap)", 1))
 _CTES["by_delivery"] = _CTES["by_delivery"].format(
@@ -205,9 +276,24 @@ _SPARK_NAMES = {
 
 
 def _row_counts() -> str:
+    """Counts of the star schema's own tables, by the rules that derive the marketplace's."""
+    expected = {
+        "customers": "SELECT count(*) FROM orders",
+        "orders": "SELECT count(*) FROM orders",
+        "order_items": "SELECT count(*) FROM lineitem",
+        "order_payments": "SELECT count(*) FILTER (WHERE o_orderkey % 97 <> 0)"
+        " + count(*) FILTER (WHERE o_orderkey % 20 = 0) FROM orders",
+        "order_reviews": "SELECT count(*) FILTER (WHERE o_orderkey % 113 <> 0)"
+        " + count(*) FILTER (WHERE o_orderkey % 50 = 7) FROM orders",
+        "products": "SELECT count(*) FROM part",
+        "sellers": "SELECT count(*) FROM supplier",
+    }
     return " UNION ALL ".join(
         f"SELECT '{name}' AS table_name, count(*) AS row_count,"
-        f" CAST({PUBLISHED_ROW_COUNTS[name]} AS BIGINT) AS expected FROM {cte}"
+        + (f" ({expected[name]}) AS expected, count(*) = ({expected[name]}) AS matches"
+           if name in expected else
+           " CAST(NULL AS BIGINT) AS expected, CAST(NULL AS BOOLEAN) AS matches")
+        + f" FROM {cte}"
         for name, cte in _SPARK_NAMES.items()
     )
 
@@ -217,7 +303,7 @@ def _duplicates() -> str:
         f"SELECT '{name}' AS table_name, '{','.join(key)}' AS key_columns,"
         f" count(*) AS n_dup_keys FROM (SELECT {', '.join(key)} FROM {_SPARK_NAMES[name]}"
         f" GROUP BY ALL HAVING count(*) > 1)"
-        for name, key in UNIQUE_KEYS.items()
+        for name, key in _KEYS.items()
     )
 
 
@@ -225,22 +311,32 @@ def _orphans() -> str:
     return " UNION ALL ".join(
         f"SELECT '{table}.{column}' AS fk, count(*) AS n_orphans FROM {_SPARK_NAMES[table]}"
         f" WHERE {column} NOT IN (SELECT {column} FROM {_SPARK_NAMES[parent]})"
-        for table, column, parent in FOREIGN_KEYS
+        for table, column, parent in _REFERENCES
     )
 
 
-def _columns(keep, test: str, result: str) -> str:
-    """``test`` counted per column that ``keep`` accepts; money is named by its cents."""
-    cents = {"price": "price_cents", "freight_value": "freight_cents", "payment_value": "cents"}
+_CENTS = {
+    "price": "price_cents", "freight_value": "freight_cents", "payment_value": "cents",
+}
+
+
+def _columns(tests: dict[str, dict[str, str]], result: str) -> str:
+    """How many rows meet each column's test; ``{c}`` is the column."""
     return " UNION ALL ".join(
-        f"SELECT '{name}' AS table_name, '{field.name}' AS column_name,"
-        f" count(*) FILTER (WHERE {test.format(c=cents.get(field.name, field.name), f=field)})"
+        f"SELECT '{name}' AS table_name, '{column}' AS column_name,"
+        f" count(*) FILTER (WHERE {test.format(c=_CENTS.get(column, column))})"
         f" AS {result} FROM {_SPARK_NAMES[name]}"
-        for name, schema in SCHEMAS.items() for field in schema if keep(field)
+        for name, columns in tests.items() for column, test in columns.items()
     )
 
 
-def _matrix(months: int = 79) -> str:
+# First and last month of orders in the star schema, at any scale factor: year, month.
+_FIRST_MONTH, _LAST_MONTH = (1992, 1), (1998, 7)
+
+
+def _matrix() -> str:
+    (year, month), (last_year, last_month) = _FIRST_MONTH, _LAST_MONTH
+    months = (last_year - year) * 12 + last_month - month + 1
     columns = ", ".join(
         f"CAST(coalesce(max(retention_rate) FILTER (WHERE months_since = {n}), 0)"
         f" AS DECIMAL(18,2)) AS M{n}"
@@ -253,11 +349,11 @@ def _matrix(months: int = 79) -> str:
 def _seller_performance() -> str:
     return f"""
         SELECT *, CASE
-            WHEN avg_review >= 4 AND avg_delivery_delta_days < 0 THEN '{joined.STAR}'
+            WHEN avg_review >= 4 AND avg_delivery_delta_days < 0 THEN '★ Star Seller'
             WHEN avg_review >= global_avg_review AND avg_delivery_delta_days <= global_avg_delta
-                THEN '{joined.ABOVE}'
-            WHEN avg_review < 3 OR avg_delivery_delta_days > 10 THEN '{joined.UNDER}'
-            ELSE '{joined.AVERAGE}' END AS performance_tier
+                THEN '● Above Average'
+            WHEN avg_review < 3 OR avg_delivery_delta_days > 10 THEN '▼ Underperformer'
+            ELSE '■ Average' END AS performance_tier
         FROM (SELECT *,
             {_round("sum(avg_review * 100) OVER ()", "count(avg_review) OVER ()", 2, scale=2)}
                 AS global_avg_review,
@@ -442,25 +538,30 @@ def oracles() -> dict[str, str]:
             ORDER BY days_since_last DESC, customer_unique_id LIMIT 200""",
         "delivery_headline": f"""
             SELECT CAST(sum(order_count) AS BIGINT) AS delivered_orders,
-                coalesce(max(pct_of_total) FILTER (WHERE delivery_bucket = '{delivery.EARLY}'), 0)
+                coalesce(max(pct_of_total) FILTER (WHERE delivery_bucket = 'Early'), 0)
                     AS early_pct,
                 coalesce(max(avg_review_score)
-                    FILTER (WHERE delivery_bucket = '{delivery.VERY_LATE}'), 0)
+                    FILTER (WHERE delivery_bucket = 'Late (>7 days)'), 0)
                     AS very_late_avg_review,
-                max(avg_delta_days) FILTER (WHERE delivery_bucket = '{delivery.EARLY}')
+                max(avg_delta_days) FILTER (WHERE delivery_bucket = 'Early')
                     AS early_avg_delta_days
             FROM by_delivery""",
         "row_count_validation": _row_counts(),
         "key_uniqueness": _duplicates(),
         "referential_integrity": _orphans(),
-        "null_checks": _columns(lambda f: not f.nullable, "{c} IS NULL", "n_null"),
+        "null_checks": _columns(
+            {n: dict.fromkeys(columns, "{c} IS NULL") for n, columns in _NOT_NULL.items()},
+            "n_null",
+        ),
         "sparse_months": """
             SELECT make_date(year(bought), month(bought), 1) AS order_month, count(*) AS order_count
             FROM (SELECT order_purchase_timestamp AS bought FROM m_orders) GROUP BY 1
             HAVING count(*) < 185""",
         "length_checks": _columns(
-            lambda f: "max_length" in f.metadata,
-            "length(CAST({c} AS VARCHAR)) > {f.metadata[max_length]}", "n_long",
+            {name: {column: f"length(CAST({{c}} AS VARCHAR)) > {length}"
+                    for column, length in columns.items()}
+             for name, columns in _LENGTHS.items()},
+            "n_long",
         ),
     }
     return {key: _query(body) for key, body in bodies.items()}

@@ -1,75 +1,46 @@
 """Running computations per person that stay spread when one person is huge.
 
-A window partitioned by person puts all of a person's rows in one task. That is
-the best plan while people are small. When a sample shows somebody holding more
-rows than a task should sort, the rows are range-partitioned by person *and* time
-instead, each range becomes a slice, windows run per (person, slice), and the
-state at the end of each slice is carried to the person's later slices.
+A window partitioned by person would put all of a person's rows in one task. Rows are
+range-partitioned by person *and* time instead, each range becomes a slice, windows run
+per (person, slice), and the state at the end of each slice is carried to the person's
+later slices. The plan is the same whatever the data.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from souk.plans.tables import materialize
-from souk.schema import Tables
 
 PERSON = "customer_unique_id"
-HOT_ROWS = 5_000_000
-SAMPLE_ROWS = 200_000
-
-
-def has_hot_person(t: Tables, hot_rows: int = HOT_ROWS, sample_rows: int = SAMPLE_ROWS) -> bool:
-    """Whether some person is estimated to have ``hot_rows`` orders or more.
-
-    ``customers`` has a row per order, so a hash sample of it measures people. Nobody
-    can be hot when there are fewer orders than that, which a row count tells.
-    """
-    total = t.orders.count()
-    if total < hot_rows:
-        return False
-    step = max(1, math.ceil(total / sample_rows))
-    most = (
-        t.customers.filter(F.pmod(F.xxhash64("customer_id"), F.lit(step)) == 0)
-        .groupBy(PERSON).agg(F.count("*").alias("hits"))
-        .agg(F.max("hits")).first()[0]
-    )
-    return (most or 0) * step >= hot_rows
 
 
 class Timeline:
     """A person's rows in time order, ready for windows.
 
-    ``rows`` holds the data, ``window`` the order within a person (or a person's
-    slice). ``carry`` brings in what earlier slices of the person left behind.
+    ``rows`` holds the data, ``window`` the order within a person's slice. ``carry``
+    brings in what earlier slices of the person left behind.
     """
 
-    def __init__(self, rows: DataFrame, order: Sequence[str], sliced: bool):
-        self.sliced = sliced
-        if sliced:
-            rows = materialize(
-                rows.repartitionByRange(PERSON, *order)
-                .withColumn("slice", F.spark_partition_id())
-            )
-        self.rows = rows
-        keys = (PERSON, "slice") if sliced else (PERSON,)
-        self.window: WindowSpec = Window.partitionBy(*keys).orderBy(*order)
+    def __init__(self, rows: DataFrame, order: Sequence[str]):
+        # Written first, as choosing the ranges reads the rows a second time.
+        self.rows = materialize(
+            materialize(rows).repartitionByRange(PERSON, *order)
+            .withColumn("slice", F.spark_partition_id())
+        )
+        self.window: WindowSpec = Window.partitionBy(PERSON, "slice").orderBy(*order)
 
     def carry(self, totals: dict[str, Column], state: dict[str, Column]) -> DataFrame:
         """``rows`` with a column per entry of ``state``: NULL unless a person continues.
 
         ``totals`` aggregate a (person, slice); ``state`` derives from them over the
-        person's slices, ordered, through ``earlier()`` or ``previous()``. Only the
-        first and last person of a slice can continue, so the carried rows number at
-        most two per slice and are broadcast.
+        person's slices, ordered, through ``earlier()`` or ``previous()``. Only the first
+        and last person of a slice can continue, so the carried rows number at most two
+        per slice. They are broadcast, and a slice with a third one fails the query.
         """
-        if not self.sliced:
-            nothing = {name: F.lit(None) for name in state}
-            return self.rows.withColumns(nothing)
         edges = self.rows.groupBy("slice").agg(
             F.min(PERSON).alias("first_person"), F.max(PERSON).alias("last_person")
         )
@@ -83,7 +54,13 @@ class Timeline:
             self.rows.join(F.broadcast(continuing), PERSON, "left_semi")
             .groupBy(PERSON, "slice").agg(*(c.alias(name) for name, c in totals.items()))
         )
-        carried = ends.select(PERSON, "slice", *(c.alias(name) for name, c in state.items()))
+        of_slice = F.count("*").over(Window.partitionBy("slice"))
+        carried = ends.select(
+            PERSON, "slice", *(c.alias(name) for name, c in state.items()),
+            F.assert_true(of_slice <= 2, F.lit("a slice carries more than two people"))
+            .alias("bounded"),
+        )
+        carried = carried.filter(F.col("bounded").isNull()).drop("bounded")
         return self.rows.join(F.broadcast(carried), [PERSON, "slice"], "left")
 
 

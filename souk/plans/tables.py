@@ -1,40 +1,64 @@
 """Intermediate results written once and read many times.
 
-A parquet table in the cluster's shared checkpoint folder cuts lineage, outlives
-lost executors and, unlike a checkpointed RDD, is read column by column. The
-folder's own retention removes old tables, as with Spark's checkpoints.
+A parquet table in a folder that all executors share cuts lineage, outlives lost
+executors and, unlike a checkpointed RDD, is read column by column. The folder is
+``spark.checkpoint.dir`` or, where a session names none, its warehouse.
+
+Each table has an owner that removes it. ``owned()`` is one: what is written inside it goes
+when it ends. What is written outside belongs to the driver and goes when that exits.
 """
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from functools import cache
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
-SETTING = "spark.checkpoint.dir"
-
+SETTINGS = ("spark.checkpoint.dir", "spark.sql.warehouse.dir")
 
-def scratch_folder(spark: SparkSession) -> str:
-    """The shared folder; a temporary one only for a local session that names none."""
-    folder = spark.conf.get(SETTING, None)
-    if folder:
-        return folder.rstrip("/")
-    master = spark.conf.get("spark.master", "")
-    if not master.startswith("local"):
-        raise ValueError(f"set {SETTING} to a folder that all executors share")
-    return _local_folder()
+_owned: ContextVar[list[str] | None] = ContextVar("owned", default=None)
 
 
-@cache
-def _local_folder() -> str:
-    return tempfile.mkdtemp(prefix="souk-")
+def scratch_folder(spark: SparkSession) -> str:
+    """The shared folder of the session."""
+    for setting in SETTINGS:
+        if folder := spark.conf.get(setting, None):
+            return folder.rstrip("/")
+    raise ValueError(f"set {SETTINGS[0]} to a folder that all executors share")
 
 
 def materialize(df: DataFrame) -> DataFrame:
     """Run ``df`` now and return the written rows."""
     spark = df.sparkSession
     path = f"{scratch_folder(spark)}/souk-{uuid.uuid4().hex}"
+    owner = _owned.get()
+    if owner is None:
+        files, place = _files(spark, path)
+        files.deleteOnExit(place)
+    else:
+        owner.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def owned(spark: SparkSession) -> Iterator[None]:
+    """Owns what is written inside: results that read it must be used up before the end."""
+    paths: list[str] = []
+    token = _owned.set(paths)
+    try:
+        yield
+    finally:
+        _owned.reset(token)
+        for path in paths:
+            files, place = _files(spark, path)
+            files.delete(place, True)
+
+
+def _files(spark: SparkSession, path: str):
+    """Hadoop's view of where ``path`` is, whatever store that is."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place

@@ -84,7 +84,7 @@ def write_bucketed(t: Tables, database: str, buckets: int) -> None:
             key = BUCKET_KEYS[name]
             # Gathers a bucket's rows so that it gets few files, yet splits a hot key's.
             writer = (
-                df.hint("rebalance", key)
+                df.hint("rebalance", buckets, key)
                 .write.mode("overwrite").format("parquet").bucketBy(buckets, key).sortBy(key)
             )
         writer.saveAsTable(f"{database}.{name}")

@@ -46,6 +46,23 @@ def read_star(spark: SparkSession, folder: str) -> Tables:
     )
 
 
+def expected_rows(spark: SparkSession, folder: str) -> dict[str, int]:
+    """Rows that the tables of ``folder`` must have, counted in the sources by its rules."""
+
+    def rows(name: str) -> DataFrame:
+        return spark.read.schema(SOURCES[name]).parquet(f"{folder}/{name}.parquet")
+
+    key = F.col("o_orderkey")
+    counts = rows("orders").agg(
+        F.count("*").alias("orders"),
+        F.count("*").alias("customers"),
+        (F.count_if(key % 97 != 0) + F.count_if(key % 20 == 0)).alias("order_payments"),
+        (F.count_if(key % 113 != 0) + F.count_if(key % 50 == 7)).alias("order_reviews"),
+    ).first().asDict()
+    others = {"order_items": "lineitem", "products": "part", "sellers": "supplier"}
+    return counts | {table: rows(name).count() for table, name in others.items()}
+
+
 def _zip(key: str) -> Column:
     return F.lpad((F.col(key) % 100000).cast("string"), 5, "0")
 

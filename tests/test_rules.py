@@ -13,8 +13,9 @@ from souk.operators import basic, joined, quality, summaries
 from souk.operators.churn import churn_risk
 from souk.operators.cohort import cohort_retention
 from souk.operators.delivery import delivery_performance
-from souk.operators.rfm import bucket_starts, rfm_segments, segment
+from souk.operators.rfm import rfm_segments, segment
 from souk.operators.value import customer_ltv
+from souk.schema import Tables
 from tests.tiny import rows, shop, tables
 
 NOON = datetime(2018, 1, 1, 12)
@@ -151,10 +152,9 @@ def _same_time(spark):
     ])
 
 
-@pytest.mark.parametrize("hot_rows", [10**9, 1])
-def test_ltv_orders_equal_times_by_order(spark, hot_rows):
+def test_ltv_orders_equal_times_by_order(spark):
     t = _same_time(spark)
-    assert rows(customer_ltv(t, hot_rows=hot_rows), "customer_unique_id", "order_sequence",
+    assert rows(customer_ltv(t), "customer_unique_id", "order_sequence",
                 "order_id", "cumulative_revenue") == [
         ("p", 1, "c", Decimal("4.00")), ("p", 2, "a", Decimal("5.00")),
         ("p", 3, "b", Decimal("7.00")), ("q", 1, "z", Decimal("8.00")),
@@ -162,8 +162,7 @@ def test_ltv_orders_equal_times_by_order(spark, hot_rows):
     assert [r.order_id for r in customer_ltv(t, ordered=True).collect()] == ["c", "a", "b", "z"]
 
 
-@pytest.mark.parametrize("hot_rows", [10**9, 1])
-def test_churn(spark, hot_rows):
+def test_churn(spark):
     day = timedelta(days=1)
     t = shop(spark, [
         ("a1", "steady", NOON, [], []), ("a2", "steady", NOON + 10 * day, [], []),
@@ -173,7 +172,7 @@ def test_churn(spark, hot_rows):
         ("d1", "edge", NOON, [], []), ("d2", "edge", NOON + 10 * day, [], []),
         ("d3", "edge", NOON + 21 * day, [], []),
     ])
-    assert rows(churn_risk(t, hot_rows=hot_rows), "customer_unique_id", "order_count",
+    assert rows(churn_risk(t), "customer_unique_id", "order_count",
                 "avg_days_between", "days_since_last", "churn_threshold", "is_churned") == [
         # 11 and 10 average 10.5; one and a half times that rounds from 15.75 to 15.8.
         ("edge", 3, Decimal("10.5"), 15, Decimal("15.8"), False),
@@ -197,10 +196,28 @@ def test_cohort_months_do_not_wrap(spark):
     assert [tuple(r) for r in matrix.collect()][1] == ("2017-01", 100, 0, 0, 0)
 
 
+# A line per recency score, a group per frequency score, a letter per money score.
+CELLS = [
+    "XHHHH HHHHH --RRR --RWW --RWW",
+    "HHHHH SSSSS SSRRR SSRWW SSRWW",
+    "MM--- MPPPP -PNLL -PLLL -PLLL",
+    "YYYYY YPPPP -PLLL -PLCC -PLCC",
+    "YYYYY YPPPP -PLLL -PLCC -PLCC",
+]
+LETTERS = {
+    "C": "Champions", "W": "Can't Lose Them", "N": "Need Attention", "R": "At Risk",
+    "L": "Loyal Customers", "P": "Potential Loyalists", "Y": "New Customers", "M": "Promising",
+    "X": "Lost", "S": "About to Sleep", "H": "Hibernating", "-": "Others",
+}
+
+
 def test_segment_truth_table(spark):
     scores = [(r, f, m) for r, f, m in itertools.product(range(1, 6), repeat=3)]
     cells = spark.createDataFrame(scores, "r int, f int, m int")
-    won = Counter(r[0] for r in cells.select(segment(*map(F.col, "rfm"))).collect())
+    named = {tuple(r)[:3]: r[3] for r in cells.select("*", segment(*map(F.col, "rfm"))).collect()}
+    for (r, f, m), name in named.items():
+        assert name == LETTERS[CELLS[r - 1].split()[f - 1][m - 1]], (r, f, m)
+    won = Counter(named.values())
     assert won == {
         "Champions": 8, "Can't Lose Them": 8, "Need Attention": 1, "At Risk": 10,
         "Loyal Customers": 18, "Potential Loyalists": 21, "New Customers": 12, "Promising": 3,
@@ -219,10 +236,28 @@ def test_scores_of_few_people(spark, people):
     assert result == [(i, 6 - tiles[i], tiles[i], tiles[i]) for i in range(people)]
 
 
-def test_bucket_starts():
-    assert bucket_starts(12, 5) == [3, 6, 8, 10]
-    assert bucket_starts(3, 5) == [1, 2]
-    assert bucket_starts(0, 5) == []
+def test_null_scores_do_not_count_in_means(spark):
+    late, seller = datetime(2018, 1, 9), {"seller_id": "s1"}
+    t = tables(
+        spark,
+        orders=[dict(order_id=o, customer_id=o, order_status="delivered",
+                     order_delivered_customer_date=late, order_estimated_delivery_date=late)
+                for o in ("o1", "o2")],
+        customers=[dict(customer_id=o, customer_unique_id=o) for o in ("o1", "o2")],
+        order_items=[dict(order_id=o, order_item_id=1, **seller) for o in ("o1", "o2")],
+        order_payments=[dict(order_id=o, payment_value=Decimal("10.00")) for o in ("o1", "o2")],
+        sellers=[seller],
+    )
+    t = Tables(**dict(t.items()) | {"order_reviews": spark.createDataFrame(
+        [("o1", 2), ("o1", None), ("o2", None)], "order_id string, review_score int")})
+    (low,) = joined.underperforming_sellers(t, 3, 3).collect()
+    assert (low.items_sold, low.avg_review_score) == (3, Decimal("2.00"))
+    (tier,) = joined.order_value_tiers(t).collect()
+    assert (tier.order_count, tier.avg_review_score) == (3, Decimal("2.00"))
+    (graded,) = joined.seller_performance(t, 1).collect()
+    assert (graded.items_sold, graded.avg_review) == (3, Decimal("2.00"))
+    (bucket,) = delivery_performance(t).collect()
+    assert (bucket.order_count, bucket.avg_review_score) == (3, Decimal("2.00"))
 
 
 @pytest.mark.parametrize("values,median", [
@@ -268,8 +303,10 @@ def test_quality(spark):
         orders=[{"order_id": "o", "customer_id": "a"}, {"order_id": "p", "customer_id": "gone"}],
         order_reviews=[{"order_id": "o", "review_id": "r"}, {"order_id": "x", "review_id": "r"}],
     )
-    counts = {r[0]: (r[1], r[2]) for r in quality.row_count_validation(t, {"orders": 2}).collect()}
-    assert counts["orders"] == (2, 2) and counts["sellers"] == (0, None)
+    checked = quality.row_count_validation(t, {"orders": 2, "customers": 3}).collect()
+    counts = {r[0]: tuple(r)[1:] for r in checked}
+    assert counts["orders"] == (2, 2, True) and counts["customers"] == (2, 3, False)
+    assert counts["sellers"] == (0, None, None)
     keys = {r.table_name: r.n_dup_keys for r in quality.key_uniqueness(t).collect()}
     assert keys["customers"] == 1 and keys["order_reviews"] == 1 and keys["orders"] == 0
     orphans = {r.fk: r.n_orphans for r in quality.referential_integrity(t).collect()}

@@ -1,15 +1,19 @@
 """Files in and out."""
 
+import os
+from datetime import datetime
+
 import pytest
+from pyspark.sql import functions as F
 
 from souk.operators import basic
 from souk.operators.orders import customer_totals, paid_orders
-from souk.operators.views import VIEWS, register_views
+from souk.operators.views import LIVE_VIEWS, SNAPSHOT_VIEWS, refresh_views, register_views
 from souk.plans import tables as scratch
 from souk.schema import SCHEMAS, Tables
 from souk.sources import files
 from souk.sources.star import read_star
-from tests.tiny import rows
+from tests.tiny import rows, shop
 
 
 def test_csv_edges(spark, tmp_path):
@@ -79,6 +83,8 @@ def test_bucketed_tables_join_orders_without_shuffling_them(spark, sf_dir):
     files.write_bucketed(t, "shop", 8)
     files.write_bucketed(t, "shop", 8)  # replaces
     stored = files.read_catalog(spark, "shop")
+    written = [os.path.basename(f) for f in stored.order_items.inputFiles()]
+    assert len(written) == 8  # a file per bucket
     assert rows(customer_totals(stored)) == rows(customer_totals(t))
     broadcast = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     try:
@@ -90,12 +96,31 @@ def test_bucketed_tables_join_orders_without_shuffling_them(spark, sf_dir):
     assert text.count("Exchange") == 1 and "Exchange hashpartitioning(customer_id" in text
 
 
-def test_views_read_from_sql(spark, sf_dir):
-    t = read_star(spark, sf_dir)
-    register_views(t)
-    for name in VIEWS:
+def test_live_views_see_new_orders_and_snapshots_when_refreshed(spark, tmp_path):
+    def purchase(order, month):
+        return (order, "p1", datetime(2018, month, 1), ["5.00"], [5])
+
+    folder = str(tmp_path / "shop")
+    files.write_parquet(shop(spark, [purchase("o1", 1), purchase("o2", 2)]), folder)
+    jobs = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("register", "views")
+    register_views(files.read_parquet(spark, folder))
+    assert list(jobs.getJobIdsForGroup("register")) == []
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    refresh_views(files.read_parquet(spark, folder))
+    for name in [*LIVE_VIEWS, *SNAPSHOT_VIEWS]:
         assert spark.sql(f"SELECT * FROM {name}").count() > 0
-    assert spark.table("orders").count() == t.orders.count()
+    more = shop(spark, [purchase("o3", 3)])
+    for name, df in more.items():
+        df.write.mode("append").parquet(f"{folder}/{name}")
+    spark.catalog.refreshByPath(folder)
+    now = files.read_parquet(spark, folder)
+    register_views(now)
+    assert spark.table("v_delivery_performance").agg(F.sum("order_count")).first()[0] in (None, 3)
+    assert spark.sql("SELECT max(months_since) FROM v_cohort_retention").first()[0] == 2
+    assert spark.table("v_clv").count() == 2
+    refresh_views(now, "v_clv")
+    assert spark.table("v_clv").count() == 3
 
 
 def test_tables_must_be_complete(spark):
@@ -107,14 +132,14 @@ class _Session:
     """A session whose settings are only these."""
 
     def __init__(self, **settings):
-        self.conf = {key.replace("_", "."): value for key, value in settings.items()}
+        self.conf = settings
 
 
 def test_scratch_folder_of_a_session_that_names_none():
-    local = scratch.scratch_folder(_Session(spark_master="local[2]"))
-    assert local == scratch.scratch_folder(_Session(spark_master="local[4]"))
+    names_none = _Session(**{"spark.sql.warehouse.dir": "s3://shared/warehouse/"})
+    assert scratch.scratch_folder(names_none) == "s3://shared/warehouse"
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        scratch.scratch_folder(_Session(spark_master="k8s://cluster"))
+        scratch.scratch_folder(_Session())
 
 
 def test_scratch_folder_is_the_one_the_session_names(spark):
