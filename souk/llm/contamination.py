@@ -19,7 +19,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from souk.llm.text import SHINGLE_WORDS, Words, slices
@@ -34,23 +34,29 @@ def contaminated(
     item_col: str = "item_id", item_text_col: str = "text", percent: int = 75,
     block_hashes: int = BLOCK_HASHES,
 ) -> DataFrame:
-    """Rows (id, item_ids, containment), one per row of ``docs``, in no order.
+    """Rows (id, item_ids, shares), one per row of ``docs``, in no order.
 
-    ``item_ids`` are the distinct ids of the items it contains, ascending; ``containment``
-    the largest share of an item's distinct shingles found in it, of those items, else 0.
+    ``item_ids`` are the distinct ids of the items it contains, ascending, and ``shares``
+    how much of each item's distinct shingles it holds; of items that repeat an id the most.
     Words and shingles are those of the n-gram join; an item of fewer than five words is
     contained where its words stand in a row. Items or documents that are NULL, empty or
     without words contain nothing and are contained nowhere; items with a NULL id are
     ignored. Repeated rows count each for itself. Other columns are ignored.
     """
-    found = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).withColumns({
-        "item_ids": F.array().cast("array<bigint>"), "containment": F.lit(0.0)
-    })
+    found = docs.select(
+        F.col(id_col).alias("id"), F.col(text_col).alias("text")).withColumns(_nothing())
     for block in _blocks(items, item_col, item_text_col, block_hashes, percent):
         found = flagged(found, block)
         if block.more:
             found = materialize(found)
-    return found.select(F.col("id").alias(id_col), "item_ids", "containment")
+    return found.select(F.col("id").alias(id_col), "item_ids", "shares")
+
+
+def pairs(found: DataFrame, id_col: str = "doc_id", item_col: str = "item_id") -> DataFrame:
+    """Rows (id, item, containment) of ``contaminated``'s; clean documents have none."""
+    hit = F.explode(F.arrays_zip("item_ids", "shares")).alias("hit")
+    return found.select(F.col(id_col), hit).select(
+        id_col, F.col("hit.item_ids").alias(item_col), F.col("hit.shares").alias("containment"))
 
 
 def clean_rows(
@@ -59,9 +65,7 @@ def clean_rows(
     """The rows of ``docs`` whose text contains no item of ``items``, all columns kept."""
     names = docs.columns
     rows = docs.select(F.struct(*(F.col(f"`{n}`") for n in names)).alias("row"))
-    found = rows.select("row", F.col("row")[text_col].alias("text")).withColumns({
-        "item_ids": F.array().cast("array<bigint>"), "containment": F.lit(0.0)
-    })
+    found = rows.select("row", F.col("row")[text_col].alias("text")).withColumns(_nothing())
     for block in _blocks(items, "item_id", "text", BLOCK_HASHES, percent):
         found = flagged(found, block)
         if block.more:
@@ -71,6 +75,12 @@ def clean_rows(
     )
 
 
+def _nothing() -> dict[str, Column]:
+    return {
+        "item_ids": F.array().cast("array<bigint>"), "shares": F.array().cast("array<double>"),
+    }
+
+
 class Block:
     """Some items' hashes, ready to be met: (hash, item) pairs by hash."""
 
@@ -144,11 +154,13 @@ def _flag(batches: Iterator[pa.RecordBatch], sent) -> Iterator[pa.RecordBatch]:
         met = _met(Words(texts), block)
         if met:
             ids = batch.column("item_ids").to_pylist()
-            best = batch.column("containment").to_pylist()
-            for text, items, share in met:
-                ids[text] = sorted({*ids[text], *block.ids[items].tolist()})
-                best[text] = max(best[text], share)
-            for name, values in (("item_ids", ids), ("containment", best)):
+            shares = batch.column("shares").to_pylist()
+            for text, items, found in met:
+                best = dict(zip(ids[text], shares[text]))
+                for item, share in zip(block.ids[items].tolist(), found.tolist()):
+                    best[item] = max(share, best.get(item, 0.0))
+                ids[text], shares[text] = map(list, zip(*sorted(best.items())))
+            for name, values in (("item_ids", ids), ("shares", shares)):
                 at = batch.schema.get_field_index(name)
                 batch = batch.set_column(
                     at, batch.schema.field(at), pa.array(values, batch.schema.field(at).type)
@@ -156,8 +168,8 @@ def _flag(batches: Iterator[pa.RecordBatch], sent) -> Iterator[pa.RecordBatch]:
         yield batch
 
 
-def _met(words: Words, block: Block) -> list[tuple[int, np.ndarray, float]]:
-    """Texts that contain items: (text, items, largest share)."""
+def _met(words: Words, block: Block) -> list[tuple[int, np.ndarray, np.ndarray]]:
+    """Texts that contain items: (text, items, their shares)."""
     if not len(block.signature):
         return []
     runs = [words.runs(SHINGLE_WORDS), *(words.runs(n) for n in block.short)]
@@ -175,7 +187,7 @@ def _met(words: Words, block: Block) -> list[tuple[int, np.ndarray, float]]:
         counts = np.bincount(block.owner[places], minlength=len(block.ids))
         items = np.flatnonzero((counts >= block.needed) & (counts > 0))
         if len(items):
-            out.append((text, items, float((counts[items] / block.sizes[items]).max())))
+            out.append((text, items, counts[items] / block.sizes[items]))
     return out
 
 
@@ -184,3 +196,29 @@ def _ranges(low: np.ndarray, high: np.ndarray) -> np.ndarray:
     sizes = high - low
     ends = np.cumsum(sizes)
     return np.arange(ends[-1] if len(ends) else 0) + np.repeat(low - (ends - sizes), sizes)
+
+
+#: The rows of ``pairs`` in DuckDB's SQL.
+ORACLE = r"""
+WITH texts AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+items AS (
+  SELECT row_number() OVER () AS i, item_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM benchmark WHERE item_id IS NOT NULL),
+item_shingles AS (
+  SELECT DISTINCT i, item_id, size, array_to_string(w[p:p + size - 1], ' ') AS shingle FROM (
+    SELECT i, item_id, w, least(5, len(w)) AS size, unnest(range(1, len(w) - least(5, len(w)) + 2)) AS p
+    FROM items WHERE len(w) > 0)),
+sizes AS (SELECT i, count(*) AS n FROM item_shingles GROUP BY i),
+text_shingles AS (
+  SELECT DISTINCT r, doc_id, size, array_to_string(w[p:p + size - 1], ' ') AS shingle FROM (
+    SELECT r, doc_id, w, size, unnest(range(1, len(w) - size + 2)) AS p
+    FROM texts, (SELECT DISTINCT size FROM item_shingles) WHERE len(w) >= size)),
+met AS (
+  SELECT r, doc_id, i, item_id, count(*) AS c FROM text_shingles JOIN item_shingles USING (size, shingle)
+  GROUP BY ALL)
+SELECT doc_id, item_id, max(c / n) AS containment FROM met JOIN sizes USING (i)
+WHERE 100 * c >= 75 * n GROUP BY r, doc_id, item_id
+"""

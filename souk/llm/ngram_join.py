@@ -511,3 +511,26 @@ def overlaps_reach(
     linked = alive & ((100 + percent) * overlap.astype(np.int64) >= percent * both)
     found, other = np.nonzero(linked)
     return rows[found], other
+
+
+#: The rows of ``ngram_join`` over documents in DuckDB's SQL.
+ORACLE = r"""
+WITH RECURSIVE texts AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+shingles AS (
+  SELECT DISTINCT r, array_to_string(w[p:p + size - 1], ' ') AS shingle FROM (
+    SELECT r, w, least(5, len(w)) AS size, unnest(range(1, len(w) - least(5, len(w)) + 2)) AS p
+    FROM texts WHERE len(w) > 0)),
+sizes AS (SELECT r, count(*) AS n FROM shingles GROUP BY r),
+links AS (
+  SELECT a.r AS a, b.r AS b FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.r <> b.r
+  JOIN sizes x ON x.r = a.r JOIN sizes y ON y.r = b.r
+  WHERE 4 * x.n >= 3 * y.n AND 4 * y.n >= 3 * x.n
+  GROUP BY a.r, b.r, x.n, y.n HAVING 100 * count(*) >= 75 * (x.n + y.n - count(*))),
+reached AS (
+  SELECT r, r AS other FROM sizes UNION SELECT reached.r, b FROM reached JOIN links ON a = other)
+SELECT t.doc_id, coalesce(n, 0) AS n_shingles, coalesce(min(o.doc_id), t.doc_id) AS component_id
+FROM texts t LEFT JOIN sizes USING (r) LEFT JOIN reached USING (r) LEFT JOIN texts o ON o.r = other
+GROUP BY t.r, t.doc_id, n
+"""

@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from souk.llm import ann, bpe, contamination, language, licenses, repeats, secrets, tokens, tools
-from souk.llm.ngram_join import ngram_join
+from souk.llm import (
+    ann, bpe, contamination, language, licenses, ngram_join, repeats, secrets, tokens, tools,
+)
 
 TOKENIZER = "byte_bpe_multi_50k.tiktoken"
 
@@ -19,7 +20,8 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def op1_tool_calls(spark: SparkSession, folder: str) -> DataFrame:
-    return tools.linked_turns(_table(spark, folder, "conversations"))
+    linked = tools.linked_turns(_table(spark, folder, "conversations"))
+    return linked.withColumn("problems", F.array_join("problems", ","))
 
 
 def op2_multi_index_hashing(spark: SparkSession, folder: str) -> DataFrame:
@@ -27,7 +29,7 @@ def op2_multi_index_hashing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op3_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
-    return ngram_join(_table(spark, folder, "documents"))
+    return ngram_join.ngram_join(_table(spark, folder, "documents"))
 
 
 def op4_language_id(spark: SparkSession, folder: str) -> DataFrame:
@@ -56,9 +58,9 @@ def op8_license_scan(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op9_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
-    return contamination.contaminated(
+    return contamination.pairs(contamination.contaminated(
         _table(spark, folder, "documents"), _table(spark, folder, "benchmark")
-    )
+    ))
 
 
 def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
@@ -81,5 +83,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLES: dict[str, str] = {
     "op1_tool_calls": tools.ORACLE,
+    "op3_ngram_jaccard_join": ngram_join.ORACLE,
     "op7_secret_scan": secrets.ORACLE,
+    "op9_benchmark_decontamination": contamination.ORACLE,
 }

@@ -190,7 +190,7 @@ def linked_turns(conversations: DataFrame) -> DataFrame:
     return link(calls_of(turns), results_of(turns), parameters)
 
 
-#: The query's rows in DuckDB's SQL.
+#: The rows of ``linked_turns``, problems joined by commas, in DuckDB's SQL.
 ORACLE = r"""
 WITH RECURSIVE calls AS (
   SELECT call_id, arg_min(p, (p, coalesce(t, ''))) AS position, arg_min(t, (p, coalesce(t, ''))) AS text, count(*) AS n_calls,
@@ -213,7 +213,7 @@ SELECT coalesce(c.call_id, r.call_id) AS call_id, CAST(l.level AS BIGINT) AS lev
        CASE WHEN c.call_id IS NULL THEN 'orphan' WHEN r.call_id IS NULL THEN 'unanswered' ELSE 'answered' END AS status,
        CASE WHEN c.call_id IS NOT NULL THEN 'reply' END AS name,
        CASE WHEN c.call_id IS NOT NULL THEN c.text IS NOT NULL END AS valid,
-       CASE WHEN c.call_id IS NOT NULL THEN CASE WHEN c.text IS NULL THEN ['missing text'] ELSE [] END END AS problems,
+       CASE WHEN c.call_id IS NOT NULL THEN CASE WHEN c.text IS NULL THEN 'missing text' ELSE '' END END AS problems,
        coalesce(n_calls, 0) AS n_calls, coalesce(n_results, 0) AS n_results,
        '{"arguments":{' || CASE WHEN c.call_id IS NULL THEN '' ELSE
            CASE WHEN c.position > 1 THEN '"after":' || (c.position - 2) || ',' ELSE '' END

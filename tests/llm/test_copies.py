@@ -140,13 +140,16 @@ def test_contained_items_equal_brute_force(spark, block_hashes):
     found = contamination.contaminated(docs, benchmark, block_hashes=block_hashes).collect()
     assert by_row((r.doc_id, r.item_ids) for r in found) == by_row(
         (i, brute.contained(t, items)) for i, t in rows)
-    assert all((r.containment >= 0.75) == bool(r.item_ids) for r in found)
+    assert all(len(r.shares) == len(r.item_ids) and all(s >= 0.75 for s in r.shares) for r in found)
+    listed = contamination.pairs(contamination.contaminated(docs, benchmark)).collect()
+    assert by_row((r.doc_id, r.item_id) for r in listed) == by_row(
+        (i, item) for i, t in rows for item in brute.contained(t, items))
     clean = contamination.clean_rows(docs, benchmark)
     assert clean.columns == docs.columns
     assert by_row((r.text,) for r in clean.collect()) == by_row(
         (t,) for _, t in rows if not brute.contained(t, items))
     nothing = contamination.contaminated(docs, benchmark.limit(0)).collect()
-    assert all(not r.item_ids and r.containment == 0 for r in nothing)
+    assert all(r.item_ids == r.shares == [] for r in nothing)
 
 
 # --- repeated bytes ---------------------------------------------------------------------------
