@@ -27,8 +27,9 @@ from pyspark.sql.types import StructType
 from souk.llm.language import code_points
 from souk.llm.text import Fingerprints, Texts, slices
 
-CACHE_PIECES = 250_000
+CACHE_PIECES = 150_000
 LONG_PIECE = 256
+_DECODE_ROWS = 256
 _NONE = np.int64(1 << 40)
 
 # --- boundaries -----------------------------------------------------------------------------
@@ -262,25 +263,27 @@ class Ranks:
         ids = self.bytes[np.frombuffer(piece, np.uint8)].tolist()
         after = list(range(1, len(ids))) + [-1]
         before = list(range(-1, len(ids) - 1))
-        pairs = dict(zip(self.pairs.tolist(), self.merged.tolist())) if not hasattr(
-            self, "_pairs") else self._pairs
-        self._pairs = pairs
-        heap = [
-            (pairs[key], i) for i in range(len(ids) - 1)
-            if (key := ids[i] << 32 | ids[i + 1]) in pairs
-        ]
+        first = self.merge_of(np.array(ids[:-1]), np.array(ids[1:]))
+        heap = [(rank, i) for i, rank in enumerate(first.tolist()) if rank != _NONE]
         heapq.heapify(heap)
+
+        def merge(a: int, b: int) -> int:
+            wanted = ids[a] << 32 | ids[b]
+            at = int(np.searchsorted(self.pairs, wanted))
+            found = at < len(self.pairs) and self.pairs[at] == wanted
+            return int(self.merged[at]) if found else -1
+
         while heap:
             rank, i = heapq.heappop(heap)
             j = after[i]
-            if ids[i] < 0 or j < 0 or pairs.get(ids[i] << 32 | ids[j]) != rank:
+            if ids[i] < 0 or j < 0 or merge(i, j) != rank:
                 continue  # one side has been merged since
             ids[i], ids[j], after[i] = rank, -1, after[j]
             if after[j] >= 0:
                 before[after[j]] = i
             for a, b in ((before[i], i), (i, after[i])):
-                if a >= 0 and b >= 0 and (key := ids[a] << 32 | ids[b]) in pairs:
-                    heapq.heappush(heap, (pairs[key], a))
+                if a >= 0 and b >= 0 and (new := merge(a, b)) >= 0:
+                    heapq.heappush(heap, (new, a))
         return np.array([x for x in ids if x >= 0], np.uint32)
 
     def encode(self, texts: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -373,11 +376,13 @@ def _packed(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
 
 
 def _decode(batches: Iterator[pa.RecordBatch], ranks) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        decoded = [
-            ranks.value.decode(np.frombuffer(b or b"", "<u4")).tobytes()
-            for b in batch.column("ids").to_pylist()
-        ]
-        yield pa.RecordBatch.from_arrays(
-            [*batch.columns, pa.array(decoded, pa.binary())], [*batch.schema.names, "decoded"]
-        )
+    for whole in batches:
+        for start in range(0, whole.num_rows, _DECODE_ROWS):
+            batch = whole.slice(start, _DECODE_ROWS)
+            decoded = [
+                ranks.value.decode(np.frombuffer(b or b"", "<u4")).tobytes()
+                for b in batch.column("ids").to_pylist()
+            ]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(decoded, pa.binary())], [*batch.schema.names, "decoded"]
+            )
