@@ -1,8 +1,8 @@
 """The five customer and delivery results by name.
 
-Two are live: registering them runs nothing, and each read sees the tables as they are.
-The other three rest on written intermediates, as their windows span all people; they are
-snapshots, made and renewed by ``refresh_views``.
+Delivery is live: registering it runs nothing, and each read sees the tables as they are.
+The others look at the data when they are built, for the calendar's months or for ranges of
+people; they are snapshots, made and renewed by ``refresh_views``.
 """
 
 from __future__ import annotations
@@ -20,10 +20,10 @@ from souk.schema import Tables
 
 # Names of the views, fixed values.
 LIVE_VIEWS: dict[str, Callable[[Tables], DataFrame]] = {
-    "v_cohort_retention": cohort_retention,
     "v_delivery_performance": lambda t: delivery_performance(t, extremes=False),
 }
 SNAPSHOT_VIEWS: dict[str, Callable[[Tables], DataFrame]] = {
+    "v_cohort_retention": cohort_retention,
     "v_clv": customer_ltv,
     "v_rfm_segments": rfm_segments,
     "v_churn_risk": churn_risk,

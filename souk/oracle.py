@@ -564,4 +564,9 @@ def oracles() -> dict[str, str]:
             "n_long",
         ),
     }
+    bodies["load_csv"] = bodies["load_parquet"] = bodies["state_revenue_summary"]
+    bodies["read_views"] = """
+        SELECT segment, count(*) AS people,
+            (SELECT CAST(sum(order_count) AS BIGINT) FROM by_delivery) AS delivered
+        FROM segments GROUP BY segment"""
     return {key: _query(body) for key, body in bodies.items()}

@@ -30,9 +30,8 @@ def scratch_folder(spark: SparkSession) -> str:
     raise ValueError(f"set {SETTINGS[0]} to a folder that all executors share")
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Run ``df`` now and return the written rows."""
-    spark = df.sparkSession
+def scratch_path(spark: SparkSession) -> str:
+    """A new path in the shared folder, removed by its owner."""
     path = f"{scratch_folder(spark)}/souk-{uuid.uuid4().hex}"
     owner = _owned.get()
     if owner is None:
@@ -40,6 +39,13 @@ def materialize(df: DataFrame) -> DataFrame:
         files.deleteOnExit(place)
     else:
         owner.append(path)
+    return path
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Run ``df`` now and return the written rows."""
+    spark = df.sparkSession
+    path = scratch_path(spark)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -53,6 +53,16 @@ def read_csv(
     })
 
 
+def write_csv(t: Tables, folder: str) -> None:
+    """Create or replace the tables as folders of CSV files that ``read_csv`` reads."""
+    for name, df in t.items():
+        columns = (df[f.name].cast(f.dataType) for f in SCHEMAS[name])
+        df.select(*columns).write.mode("overwrite").options(
+            header=True, encoding="UTF-8", quote='"', escape='"', emptyValue='""', nullValue="\\N",
+            timestampNTZFormat="yyyy-MM-dd HH:mm:ss",
+        ).csv(f"{folder}/{name}")
+
+
 def read_parquet(spark: SparkSession, folder: str) -> Tables:
     """All tables as ``write_parquet`` left them."""
     return Tables(**{
