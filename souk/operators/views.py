@@ -1,6 +1,8 @@
 """The five customer and delivery results by name.
 
-Delivery is live: registering it runs nothing, and each read sees the tables as they are.
+Delivery is live: registering it runs nothing, and each read computes it from the tables. As
+Spark lists a table's files when it is opened, new files show after opening the tables anew and
+registering again.
 The others look at the data when they are built, for the calendar's months or for ranges of
 people; they are snapshots, made and renewed by ``refresh_views``.
 """
