@@ -89,9 +89,11 @@ def _repeated_strings(docs: DataFrame, size: int) -> DataFrame:
         partial(_anchors, size=size), "core long, stretch long, key long, place long"
     )
     cores = anchors.groupBy("core").agg(F.count("*").alias("times")).filter("times > 1")
+    # Dealt anew after the join, so that Spark can split a core that many places share.
+    place = ["core", "stretch", "key", "place"]
     places = materialize(
-        anchors.join(cores.select("core"), "core", "left_semi")
-        .groupBy("core", "stretch", "key", "place").agg(F.count("*").alias("copies"))
+        anchors.join(cores.select("core"), "core", "left_semi").repartition(*place)
+        .groupBy(*place).agg(F.count("*").alias("copies"))
     )
     stretches = materialize(places.groupBy("core", "stretch").agg(
         F.sum("copies").alias("times"), F.min(F.struct("key", "place")).alias("first")
