@@ -38,11 +38,11 @@ from souk.plans.tables import materialize
 BLOCK = 512
 PIVOTS = 16
 #: Packed shingles that one task takes of a shuffle.
-PART_ENTRIES = 2_000_000
+PART_ENTRIES = 500_000
 #: Shingles in more sets than this, or than eight times what a counter holds on average,
 #: are ordered by their rough count.
 OFTEN = 1000
-_FLUSH = 1 << 20  # packed entries a task holds before it sends them
+_FLUSH = 1 << 19  # packed entries a task holds before it sends them
 
 
 def slack(n: np.ndarray, percent: int) -> np.ndarray:
@@ -224,14 +224,12 @@ def _sets(docs, survivors) -> DataFrame:
     spark = docs.sparkSession
     wanted = spark.sparkContext.broadcast(bitmap(survivors, "key"))
     rows = _keyed(docs).select("key", "text").mapInArrow(
-        partial(_wanted_sets, wanted=wanted), "key long, set long, n long, tokens binary"
-    )
-    survivors = survivors.withColumnsRenamed({"set": "wanted_set", "key": "wanted_key"})
-    return (
-        rows.join(survivors, F.col("set") == F.col("wanted_set"))
-        .filter("key = wanted_key").groupBy("set")
-        .agg(F.first("n").alias("n"), F.first("tokens").alias("tokens"))
+        partial(_wanted_sets, wanted=wanted), "set long, n long, tokens binary"
     )
+    # Grouped first: the join then finds its rows dealt by set already.
+    return rows.groupBy("set").agg(
+        F.first("n").alias("n"), F.first("tokens").alias("tokens")
+    ).join(survivors.select("set"), "set", "left_semi")
 
 
 def _wanted_sets(batches: Iterator[pa.RecordBatch], wanted) -> Iterator[pa.RecordBatch]:
@@ -250,10 +248,9 @@ def _wanted_sets(batches: Iterator[pa.RecordBatch], wanted) -> Iterator[pa.Recor
             if len(seen) > 1_000_000:  # only saves repeats; the query drops them anyway
                 seen.clear()
             yield pa.RecordBatch.from_arrays(
-                [part.column("key").take(pa.array(new, pa.int64())), pa.array(names[new]),
-                 pa.array([len(sets[i]) for i in new], pa.int64()),
+                [pa.array(names[new]), pa.array([len(sets[i]) for i in new], pa.int64()),
                  pa.array([sets[i].tobytes() for i in new], pa.binary())],
-                ["key", "set", "n", "tokens"],
+                ["set", "n", "tokens"],
             )
 
 
@@ -305,6 +302,7 @@ def _edges(sets, percent: int, block: int) -> DataFrame:
     wide = materialize(dealt.filter("blocks > 1").select("leader", "set", "blocks"))
     if wide.isEmpty():
         return first
+    sets = sets.filter(holds(spark, bitmap(wide, "set"))(F.col("set")))
     # A pair of different blocks that is not yet joined has a side outside the group's
     # largest component: those sides visit all blocks.
     labels = components(first)
