@@ -100,7 +100,8 @@ def nearest(
     """
     chosen = F.lit(True) if queries is None else queries
     rows = vectors.select(
-        F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("vector"),
+        F.col(id_col).cast("long").alias("id"),
+        F.col(vector_col).cast("array<double>").alias("vector"),
         F.coalesce(chosen, F.lit(False)).alias("asks"),
     ).filter(F.col("id").isNotNull() & usable("vector"))
     sizes = rows.groupBy(F.size("vector").alias("size")).agg(
@@ -118,7 +119,8 @@ def nearest(
     def all_of(blocks: int) -> Column:
         return F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
 
-    index = rows.select("id", "vector", dealt(across).alias("i")).select("*", all_of(down).alias("j"))
+    index = rows.select("id", "vector", dealt(across).alias("i")).select(
+        "*", all_of(down).alias("j"))
     asked = rows.filter("asks").select("id", "vector", dealt(down).alias("j")).select(
         "*", all_of(across).alias("i"))
 

@@ -100,7 +100,8 @@ def _symbols(points: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     after[:count] = kind
     ahead = np.zeros(count + 3, np.uint32)
     ahead[:count] = points
-    next_kind, one, two = after[1:count + 1].copy(), ahead[1:count + 1].copy(), ahead[2:count + 2].copy()
+    next_kind = after[1:count + 1].copy()
+    one, two = ahead[1:count + 1].copy(), ahead[2:count + 2].copy()
     lasts = bounds[bounds > 0] - 1
     next_kind[lasts], one[lasts], two[lasts] = _W, 0, 0
     two[lasts[lasts > 0] - 1] = 0

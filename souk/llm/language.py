@@ -157,7 +157,8 @@ def code_points(texts: Texts) -> tuple[np.ndarray, np.ndarray]:
     data = texts.data
     lead = (data & 0xC0) != 0x80
     before = np.concatenate(([0], np.cumsum(lead)))
-    return np.frombuffer(data.tobytes().decode().encode("utf-32-le"), np.uint32), before[texts.bounds]
+    points = np.frombuffer(data.tobytes().decode().encode("utf-32-le"), np.uint32)
+    return points, before[texts.bounds]
 
 
 @lru_cache(maxsize=1)
@@ -173,7 +174,8 @@ def _count(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.RecordBa
     counts: dict[str, np.ndarray] = {}
     texts_of: dict[str, int] = {}
     for batch, texts in slices(batches, "text", _SLICE):
-        names, which = np.unique(np.array(batch.column("lang").to_pylist()), return_inverse=True)
+        langs = np.array(batch.column("lang").to_pylist())
+        names, which = np.unique(langs, return_inverse=True)
         if len(counts) + len(names) > MATRIX_LIMIT >> bits:
             raise ValueError(f"more than {MATRIX_LIMIT >> bits} languages")
         for name, held in zip(names.tolist(), np.bincount(which).tolist()):

@@ -182,7 +182,8 @@ def _normalised(texts: Texts):
     those, and each text's number of words.
     """
     ends = texts.bounds[1:]
-    data = np.insert(_LOWER[texts.data], np.repeat(ends, 3), np.tile(np.array([32, _MARK, 32], np.uint8), len(ends)))
+    between = np.tile(np.array([32, _MARK, 32], np.uint8), len(ends))
+    data = np.insert(_LOWER[texts.data], np.repeat(ends, 3), between)
     inside = _WORD[data]
     inside[ends + 3 * np.arange(len(ends)) + 1] = True  # the marks
     before = np.concatenate(([False], inside[:-1]))

@@ -312,7 +312,6 @@ def _edges(sets, percent: int, block: int) -> DataFrame:
     main = joined.groupBy("leader", "component").agg(F.count("*").alias("held")).groupBy(
         "leader").agg(F.max_by("component", "held").alias("main"))
     outside = joined.join(main, "leader").filter("component != main")
-    stays = placed.filter("blocks > 1").select("leader", "block", "set", F.lit(False).alias("visits"), F.lit(0).alias("wave"))
     # Visitors come in waves of a block's size; a wave meets each resident block in a task.
     waves = outside.groupBy("leader").agg(F.ceil(F.count("*") / block).cast("int").alias("waves"))
     visits = outside.join(waves, "leader").select(
@@ -320,12 +319,13 @@ def _edges(sets, percent: int, block: int) -> DataFrame:
         F.lit(True).alias("visits"),
         F.pmod(F.xxhash64("set"), F.col("waves")).cast("int").alias("wave"),
     )
-    stays = stays.join(waves, "leader").select(
-        "leader", "block", "set", "visits",
+    stays = placed.filter("blocks > 1").join(waves, "leader").select(
+        "leader", "block", "set", F.lit(False).alias("visits"),
         F.explode(F.sequence(F.lit(0), F.col("waves") - 1)).alias("wave"),
     )
-    second = stays.unionByName(visits).join(sets, "set").groupBy("leader", "block", "wave").applyInArrow(
-        grouped(_link_block, percent=percent), "a long, b long"
+    second = (
+        stays.unionByName(visits).join(sets, "set").groupBy("leader", "block", "wave")
+        .applyInArrow(grouped(_link_block, percent=percent), "a long, b long")
     )
     return materialize(first.unionByName(second))
 
@@ -367,8 +367,9 @@ def _packed(
     rows = []
     for p in np.flatnonzero(np.diff(edges)).tolist():
         cells = [b""] * 5
+        here = order[edges[p]:edges[p + 1]]
         for number, column in enumerate(columns):
-            cells[0 if number == 0 else place + number - 1] = column[order[edges[p]:edges[p + 1]]].tobytes()
+            cells[0 if number == 0 else place + number - 1] = column[here].tobytes()
         rows.append((p, *cells))
     return rows
 
@@ -431,9 +432,8 @@ def _prefixes(group: pa.Table, percent: int) -> pa.Table:
     """The shared shingles in each set's prefix. Those that no other set has come first in
     the order and lead to nobody."""
     def column(name: str, kind, wanted: str) -> np.ndarray:
-        return np.frombuffer(b"".join(
-            cell for cell, w in zip(group.column(name).to_pylist(), group.column(wanted).to_pylist()) if w
-        ), kind)
+        cells = zip(group.column(name).to_pylist(), group.column(wanted).to_pylist())
+        return np.frombuffer(b"".join(cell for cell, filled in cells if filled), kind)
 
     names, sizes = column("sets", np.int64, "sizes"), column("sizes", np.int64, "sizes")
     held = column("held", np.int64, "sizes")

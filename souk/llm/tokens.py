@@ -72,7 +72,8 @@ def at_limits(suffixes: DataFrame, limits: DataFrame, limit_col: str = "limit")
         F.lit(None).cast("struct<docs_from:bigint,tokens_from:bigint>").alias("above"),
     ))
     marks = marks.withColumn("span", F.floor(F.col("at") / SPAN))
-    firsts = marks.groupBy("span").agg(F.min_by("above", F.when(F.col("above").isNotNull(), F.col("at"))).alias("first"))
+    where = F.when(F.col("above").isNotNull(), F.col("at"))
+    firsts = marks.groupBy("span").agg(F.min_by("above", where).alias("first"))
     beyond = Window.orderBy("span").rowsBetween(1, Window.unboundedFollowing)
     firsts = firsts.select("span", F.first("first", ignorenulls=True).over(beyond).alias("beyond"))
     later = Window.partitionBy("span").orderBy(F.desc("at"), F.col("limit").isNull()).rowsBetween(
