@@ -143,8 +143,8 @@ def _survivors(docs, sizes, classes, percent: int) -> DataFrame:
         partial(_send, percent=percent, parts=parts), "part int, tokens binary, sets binary"
     )
     counts = packed.groupBy("part").applyInArrow(
-        grouped(_count_shared, parts=parts), "set long, shared long"
-    ).groupBy("set").agg(F.sum("shared").alias("shared"))
+        grouped(_count_shared, parts=parts), "part int, sets binary, shared binary"
+    ).groupBy("part").applyInArrow(_add_shared, "set long, shared long")
     needed = F.greatest(F.lit(1), F.floor(F.ceil(F.col("n") * percent / 100) / 10))
     return classes.join(counts, "set").filter(F.col("shared") >= needed).select("set", "key")
 
@@ -212,8 +212,26 @@ def _count_shared(group: pa.Table, parts: int) -> pa.Table:
         found, counts = np.unique(name[shared], return_counts=True)
     else:
         found, where = np.unique(name, return_inverse=True)
-        counts = np.bincount(where, weights=token).astype(np.int64)
-    return pa.table({"set": found.view(np.int64), "shared": counts.astype(np.int64)})
+        counts = np.bincount(where, weights=token)
+    # Packed by set: a row for each set and part would be one for almost every shingle.
+    part, counts = _part(found, parts), counts.astype(np.int64)
+    order = np.argsort(part, kind="stable")
+    edges = np.searchsorted(part[order], np.arange(parts + 1))
+    full = np.flatnonzero(np.diff(edges))
+    return pa.table({
+        "part": pa.array(full, pa.int32()),
+        **{name: pa.array([column[order[edges[p]:edges[p + 1]]].tobytes() for p in full], pa.binary())
+           for name, column in (("sets", found), ("shared", counts))},
+    })
+
+
+def _add_shared(group: pa.Table) -> pa.Table:
+    names, shared = (
+        np.frombuffer(b"".join(group.column(c).to_pylist()), np.int64) for c in ("sets", "shared")
+    )
+    found, where = np.unique(names, return_inverse=True)
+    total = np.bincount(where, weights=shared, minlength=len(found)).astype(np.int64)
+    return pa.table({"set": found, "shared": total})
 
 
 # --- sets of the survivors ------------------------------------------------------------------
