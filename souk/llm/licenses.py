@@ -8,6 +8,7 @@ edits and says where the notice stands. Tasks read whole texts; nothing is shuff
 
 from __future__ import annotations
 
+import bisect
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -128,15 +129,10 @@ def found(texts: Texts):
             places[text].append(word)
             labels[text].add(label)
     for notice, seeds, pattern in _NOTICES:
-        for low, high in _neighbourhoods(words, notice, seeds):
-            for match in pattern.finditer(words, low, high):
-                if match.start() == match.end():
-                    continue
-                text, first = word_at(match.start())
-                last = word_at(match.end() - 1)[1]
-                edits = sum(match.fuzzy_counts)
-                notices[text].append(
-                    (notice.label, first, last, edits, 1 - edits / len(notice.words)))
+        for edits, start, end in _verified(words, notice, pattern, _neighbourhoods(words, notice, seeds)):
+            text, first = word_at(start)
+            last = word_at(end - 1)[1]
+            notices[text].append((notice.label, first, last, edits, 1 - edits / len(notice.words)))
     names = ("label", "first", "last", "edits", "unchanged")
     return (
         counts, [sorted(p) for p in places], [sorted(x) for x in labels],
@@ -144,8 +140,41 @@ def found(texts: Texts):
     )
 
 
+def _verified(words: bytes, notice: Notice, pattern: regex.Pattern, stretches) -> list[tuple]:
+    """Copies (edits, start, end) in the stretches, none of which overlap, the least edited first.
+
+    The matcher gives a stretch's best copy only. What copies leave of a stretch is searched
+    again, so that a better copy hides no other.
+    """
+    taken: list[tuple[int, int, int]] = []
+    spans: list[tuple[int, int]] = []  # of those taken, by place
+    least = len(notice.words) - notice.edits
+    while stretches:
+        matches = [(part, pattern.search(words, *part)) for part in stretches]
+        found = [(part, (sum(m.fuzzy_counts), *m.span())) for part, m in matches if m]
+        for copy in sorted({c for _, c in found}):
+            _, start, end = copy
+            at = bisect.bisect_left(spans, (start, end))
+            if (at == 0 or spans[at - 1][1] <= start) and (at == len(spans) or end <= spans[at][0]):
+                spans.insert(at, (start, end))
+                taken.append(copy)
+        left = set()
+        for (low, high), _ in found:
+            at = max(0, bisect.bisect_left(spans, (low, low)) - 1)
+            while at < len(spans) and spans[at][0] < high:
+                left.add((low, spans[at][0]))
+                low = max(low, spans[at][1])
+                at += 1
+            left.add((low, high))
+        stretches = sorted((a, b) for a, b in left if b - a > least)
+    return taken
+
+
 def _neighbourhoods(words: bytes, notice: Notice, seeds) -> list[tuple[int, int]]:
-    """Stretches that may hold the notice: around finds of its seeds, within one text."""
+    """Stretches that may hold the notice: around finds of its seeds, within one text.
+
+    Only finds that may be of one copy share a stretch, so its length is bounded.
+    """
     size, slack = len(notice.words), notice.edits + 1
     near = sorted(
         (max(0, m.start() - offset - slack), min(len(words), m.start() - offset + size + slack))
@@ -158,10 +187,10 @@ def _neighbourhoods(words: bytes, notice: Notice, seeds) -> list[tuple[int, int]
     for low, high in near:
         # The matcher must not see across a mark between texts.
         middle = (low + high) // 2
-        low = max(low, words.rfind(mark, low, middle))
+        low = max(low, words.rfind(mark, low, middle) + 1)
         cut = words.find(mark, middle, high)
         high = high if cut < 0 else cut
-        if merged and low <= merged[-1][1]:
+        if merged and low < merged[-1][1] and low - merged[-1][0] <= 2 * notice.edits:
             merged[-1] = (merged[-1][0], max(high, merged[-1][1]))
         else:
             merged.append((low, high))

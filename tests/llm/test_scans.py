@@ -5,9 +5,11 @@ import json
 import random
 import re
 
+import pyarrow as pa
 import pytest
 
 from souk.llm import licenses, secrets, tools
+from souk.llm.text import as_texts
 
 DOCS = "doc_id long, text string, source string, base string, row long, live string"
 ASSIGN = re.compile(secrets.ASSIGN.replace("(?i:", "(?ai:"))
@@ -127,6 +129,30 @@ def test_notices_with_edits(spark):
     assert score[4] == 0 and 0.9 < score[2] < 1
 
 
+def test_neighbours_hide_no_notice(spark):
+    edited, whole = "foo gnu genral public license", "gnu general public license bar"
+    rows = [(1, edited), (2, whole), (3, f"{edited} {whole}"), (4, whole)]
+    got = {r.doc_id: r for r in licenses.scan(frame(spark, rows).coalesce(1)).collect()}
+    assert {i: [(n.first, n.last, n.edits) for n in r.notices] for i, r in got.items()} == {
+        1: [(1, 4, 1)], 2: [(0, 3, 0)], 3: [(1, 4, 1), (5, 8, 0)], 4: [(0, 3, 0)]}
+
+
+def test_notices_do_not_depend_on_neighbours():
+    draw = random.Random(8)
+
+    def edited(words):
+        letters = list(words)
+        for _ in range(draw.randrange(3)):
+            letters[draw.randrange(len(letters))] = draw.choice(["", "x", " ", "ab"])
+        return "".join(letters)
+
+    texts = [" ".join(draw.choice([edited(draw.choice(licenses.NOTICES)[0]), "x", "the", ""])
+                      for _ in range(draw.randrange(6))) for _ in range(400)]
+    _, _, _, together = licenses.found(as_texts(pa.array(texts)))
+    alone = [licenses.found(as_texts(pa.array([t])))[3][0] for t in texts]
+    assert together == alone and sum(map(len, alone)) > 100
+
+
 # --- tool calls ---------------------------------------------------------------------------------
 
 CALLS = "call_id string, parent_id string, position long, name string, arguments string, level long"
