@@ -82,6 +82,20 @@ def test_several_owners_make_a_mixed_token_no_secret(spark):
     assert {r.spans for r in nobody} == {"own:0:27"}
 
 
+def test_masking_asks_for_more_than_copies(spark):
+    passage, copied, shared, key = "password=inTwoTexts1", "token=oneText99", "secret=example1", "kX9" * 8
+    rows = [(1, f"a {passage} {key}"), (2, f"b {passage} {key}"), *((i, f"c {copied}") for i in range(3, 7)),
+            *((i, f"d{i} {shared}") for i in range(7, 10))]
+    texts = {r.doc_id: r.text for r in secrets.masked(frame(spark, rows)).collect()}
+    assert texts == {
+        1: "a password=[secret] [secret]", 2: "b password=[secret] [secret]",
+        **{i: "c token=[secret]" for i in range(3, 7)}, **{i: f"d{i} {shared}" for i in range(7, 10)}}
+    # Several texts, but two owners.
+    for owner in (lambda n: f"o{n % 2}", lambda n: f"o{min(n, 1)}"):
+        few = secrets.masked(frame(spark, [(i, f"d{i} {shared}") for i in range(6)], owner)).collect()
+        assert {r.text for r in few} == {f"d{i} secret=[secret]" for i in range(6)}
+
+
 # --- licenses ---------------------------------------------------------------------------------
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
