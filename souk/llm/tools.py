@@ -23,6 +23,9 @@ TYPES = {
     "number": ["BIGINT", "DECIMAL", "DOUBLE", "FLOAT"], "object": ["OBJECT"], "array": ["ARRAY"],
 }
 
+#: Characters up to which ``try_parse_json`` takes a string.
+LONG = 20_000_000
+
 
 def link(calls: DataFrame, results: DataFrame, parameters: DataFrame) -> DataFrame:
     """A row per identifier of a call or a result.
@@ -38,7 +41,9 @@ def link(calls: DataFrame, results: DataFrame, parameters: DataFrame) -> DataFra
     identifier the first by position counts, ties by the other columns; their numbers
     are returned. ``problems`` is sorted: ``syntax``, ``tool``, ``missing x``, ``type x``,
     ``unknown x``. A JSON null counts as missing. NULL identifiers are dropped, parameters
-    that repeat count once, extra columns are ignored.
+    that repeat count once, extra columns are ignored. Arguments of more than ``LONG``
+    characters of which a variant can't be made have the problem ``too long`` instead of
+    ``syntax``, and stand in ``message`` as the text they are.
     """
     calls = calls.select("call_id", "parent_id", "position", "name", "arguments").dropna(
         subset=["call_id"])
@@ -56,6 +61,12 @@ def link(calls: DataFrame, results: DataFrame, parameters: DataFrame) -> DataFra
         F.when(~asked, "orphan").when(~answered, "unanswered")
         .when(F.col("answered_at") < F.col("position"), "early").otherwise("answered")
     )
+    # Fields in order make canonical JSON, and unlike a variant hold a text of any length.
+    rest = (F.col("content"), F.col("id"), F.col("name"))
+    parsed = F.coalesce(_parsed("arguments"), F.to_variant_object(F.struct()))
+    message = F.when(
+        F.array_contains("problems", "too long"), F.to_json(F.struct("arguments", *rest))
+    ).otherwise(F.to_json(F.struct(parsed.alias("arguments"), *rest)))
     return linked.select(
         F.coalesce("call_id", "answer_id").alias("call_id"), "level",
         F.coalesce("position", "answered_at").alias("position"), status.alias("status"), "name",
@@ -63,15 +74,13 @@ def link(calls: DataFrame, results: DataFrame, parameters: DataFrame) -> DataFra
         F.coalesce("n_calls", F.lit(0)).alias("n_calls"),
         F.coalesce("n_results", F.lit(0)).alias("n_results"),
         F.coalesce("call_id", "answer_id").alias("id"), "arguments", "content",
-    ).withColumn("message", canonical(F.struct(
-        F.coalesce(F.try_parse_json("arguments"), F.to_variant_object(F.struct())).alias("arguments"),
-        F.col("content"), F.col("id"), F.col("name"),
-    ))).drop("id", "arguments", "content")
+    ).withColumn("message", message).drop("id", "arguments", "content")
 
 
-def canonical(value: Column) -> Column:
-    """Canonical JSON of a struct: keys in order at every depth, no white space, no nulls."""
-    return F.to_json(F.try_parse_json(F.to_json(value)))
+def _parsed(arguments: str) -> Column:
+    """JSON as a variant, whose keys are in order. Only ``from_json`` takes long strings."""
+    long = F.from_json(arguments, F.lit("variant"), {"maxStringLen": str(2**31 - 1)})
+    return F.coalesce(F.try_parse_json(arguments), F.when(F.length(arguments) > LONG, long))
 
 
 def _first(rows: DataFrame, columns: list[str], count: str) -> DataFrame:
@@ -137,11 +146,12 @@ def _checked(calls: DataFrame, parameters: DataFrame) -> DataFrame:
     wrong = F.filter(F.transform("parameters", problem), lambda p: p.isNotNull())
     is_object = F.coalesce(F.schema_of_variant(given).startswith("OBJECT"), F.lit(False))
     problems = (
-        F.when(~is_object, F.array(F.lit("syntax")))
+        F.when(given.isNull() & (F.length("arguments") > LONG), F.array(F.lit("too long")))
+        .when(~is_object, F.array(F.lit("syntax")))
         .when(F.col("parameters").isNull(), F.array(F.lit("tool")))
         .otherwise(F.array_sort(F.concat(wrong, unknown)))
     )
-    return calls.withColumn("given", F.try_parse_json("arguments")).join(
+    return calls.withColumn("given", _parsed("arguments")).join(
         tools, F.col("name") == F.col("tool"), "left"
     ).withColumn("problems", problems).drop("given", "tool", "parameters")
 

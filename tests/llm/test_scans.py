@@ -7,6 +7,7 @@ import re
 
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from souk.llm import licenses, secrets, tools
 from souk.llm.text import as_texts
@@ -226,6 +227,26 @@ def test_unknown_tools_and_no_calls(spark):
     assert linked(spark, []) == {}
 
 
+def test_very_long_texts(spark):
+    size = tools.LONG + 1_000_000
+    turns = spark.createDataFrame([(1, 1, "user", "x"), (1, 2, "assistant", "y")],
+                                  "conv_id long, turn long, role string, text string")
+    for role in ("user", "assistant"):
+        long = turns.withColumn("text", F.when(F.col("role") == role, F.repeat("text", F.lit(size)))
+                                .otherwise(F.col("text")))
+        (row,) = tools.linked_turns(long).select(
+            "valid", "problems", F.length("message").alias("size"),
+            F.substring("message", 1, 21).alias("start")).collect()
+        short = '{"arguments":{"text":"x","turn":1},"content":"y","id":"1:1","name":"reply"}'
+        assert (row.valid, row.problems, row.size) == (True, [], len(short) + size - 1)
+        assert row.start == short[:21] or role == "user"
+    calls = spark.createDataFrame([("a", None, 1, "search", "{", 9)], CALLS).withColumn(
+        "arguments", F.repeat("arguments", F.lit(size)))
+    (row,) = tools.link(calls, spark.createDataFrame([], RESULTS), spark.createDataFrame(
+        SEARCH, PARAMETERS)).select("problems", F.length("message").alias("size")).collect()
+    assert row.problems == ["too long"] and row.size > size
+
+
 def test_turns_of_conversations(spark):
     turns = [(1, 0, "system", "be"), (1, 1, "user", "hi"), (1, 2, "assistant", "yo"),
              (1, 3, "user", 'q "é"\n'), (2, 0, "user", None), (2, 1, "assistant", "a"),
