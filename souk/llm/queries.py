@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from souk.llm import (
-    ann, bpe, contamination, language, licenses, ngram_join, repeats, secrets, tokens, tools,
+    ann, bpe, contamination, exact, language, licenses, ngram_join, repeats, secrets, tokens, tools,
 )
 
 TOKENIZER = "byte_bpe_multi_50k.tiktoken"
@@ -68,6 +68,10 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return tokens.histogram(bpe.encode(docs, public_tokenizers.path(TOKENIZER)))
 
 
+def op11_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return exact.copies(_table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_tool_calls": op1_tool_calls,
     "op2_multi_index_hashing": op2_multi_index_hashing,
@@ -79,6 +83,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_license_scan": op8_license_scan,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
     "op10_token_counts": op10_token_counts,
+    "op11_exact_dedup": op11_exact_dedup,
 }
 
 ORACLES: dict[str, str] = {
@@ -86,4 +91,5 @@ ORACLES: dict[str, str] = {
     "op3_ngram_jaccard_join": ngram_join.ORACLE,
     "op7_secret_scan": secrets.ORACLE,
     "op9_benchmark_decontamination": contamination.ORACLE,
+    "op11_exact_dedup": exact.ORACLE,
 }
