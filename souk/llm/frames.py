@@ -1,8 +1,8 @@
-"""Bounded summaries that tasks read: a bitmap of keys, counters of hashes."""
+"""Bounded summaries that tasks read: a bitmap of keys, counters of hashes, sums of pages."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 from functools import partial
 
@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 BITMAP_BITS = 27
 COUNTER_BITS = 19
+DEALS = 1 << 10
 _PAGE = 1 << 12
 
 
@@ -111,3 +112,29 @@ def _sum_pages(group: pa.Table) -> pa.Table:
         "page": group.column("page").slice(0, 1).combine_chunks(),
         "counts": pa.array([total.tobytes()], pa.binary()),
     })
+
+
+def added(pages: DataFrame, keys: Sequence[str], dtype: str) -> pa.Table:
+    """The sum of the numbers in ``cells`` (packed, of ``dtype``) per value of ``keys``.
+
+    ``pages`` has columns deal, *keys and cells, a row per task and key. ``deal`` spreads the
+    tasks, as ``TaskContext.partitionId() % DEALS`` does: pages are added within each deal and
+    the deals after that, so that no group holds a page of every task. The result goes to
+    the driver; the number of keys and the size of their cells bound it.
+    """
+    types = {f.name: f.dataType.simpleString() for f in pages.schema}
+    for dealt in (["deal"], []):
+        kept = [*dealt, *keys]
+        schema = ", ".join(f"{name} {types[name]}" for name in [*kept, "cells"])
+        pages = pages.groupBy(*kept).applyInArrow(
+            grouped(_add, keys=tuple(kept), dtype=dtype), schema)
+    return pages.toArrow()
+
+
+def _add(group: pa.Table, keys: tuple[str, ...], dtype: str) -> pa.Table:
+    total = None
+    for cells in group.column("cells").to_pylist():
+        numbers = np.frombuffer(cells, dtype)
+        total = numbers.copy() if total is None else total + numbers
+    first = {key: group.column(key).slice(0, 1).combine_chunks() for key in keys}
+    return pa.table(first | {"cells": pa.array([total.tobytes()], pa.binary())})

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from souk.llm import (
     ann, bpe, contamination, exact, language, licenses, ngram_join, repeats, secrets, tokens, tools,
+    whitening,
 )
 
 TOKENIZER = "byte_bpe_multi_50k.tiktoken"
@@ -72,6 +73,11 @@ def op11_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact.copies(_table(spark, folder, "documents"))
 
 
+def op12_embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = _table(spark, folder, "embeddings")
+    return whitening.components(vectors, whitening.fit(vectors))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_tool_calls": op1_tool_calls,
     "op2_multi_index_hashing": op2_multi_index_hashing,
@@ -84,6 +90,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
     "op10_token_counts": op10_token_counts,
     "op11_exact_dedup": op11_exact_dedup,
+    "op12_embedding_whitening": op12_embedding_whitening,
 }
 
 ORACLES: dict[str, str] = {
