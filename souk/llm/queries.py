@@ -9,11 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from souk.llm import (
-    ann, bpe, contamination, exact, language, licenses, ngram_join, repeats, secrets, tokens, tools,
-    whitening,
+    alignment, ann, bpe, contamination, exact, language, licenses, ngram_join, repeats, secrets,
+    tokens, tools, whitening,
 )
 
 TOKENIZER = "byte_bpe_multi_50k.tiktoken"
+BYTE_LEVEL, PIECES = "byte_bpe_50k.json", "piece_bpe_32k.model"
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -78,6 +79,13 @@ def op12_embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
     return whitening.components(vectors, whitening.fit(vectors))
 
 
+def op13_cross_tokenizer(spark: SparkSession, folder: str) -> DataFrame:
+    return alignment.aligned(
+        _table(spark, folder, "documents"),
+        public_tokenizers.path(BYTE_LEVEL), public_tokenizers.path(PIECES),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_tool_calls": op1_tool_calls,
     "op2_multi_index_hashing": op2_multi_index_hashing,
@@ -91,6 +99,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_token_counts": op10_token_counts,
     "op11_exact_dedup": op11_exact_dedup,
     "op12_embedding_whitening": op12_embedding_whitening,
+    "op13_cross_tokenizer": op13_cross_tokenizer,
 }
 
 ORACLES: dict[str, str] = {
