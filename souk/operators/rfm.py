@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from souk.functions.calendar import whole_days
+from souk.functions.exact import cents
 from souk.operators.orders import customer_totals, last_purchase
-from souk.plans.rank import ranked, tile
+from souk.plans.select import cuts, parts_of
 from souk.plans.slices import PERSON
 from souk.plans.tables import materialize
 from souk.schema import Tables
@@ -48,23 +49,26 @@ def segment(r: Column, f: Column, m: Column) -> Column:
 def rfm_segments(t: Tables, buckets: int = 5, ordered: bool = False) -> DataFrame:
     """People with a paid order, scored one to ``buckets`` on each measure.
 
-    Equal values are split between buckets by person id. A person's three positions
-    meet in one aggregate, so no task ever sorts all people.
+    Equal values are split between buckets by person id.
     """
-    people = materialize(
-        customer_totals(t).select(
-            PERSON,
-            whole_days(last_purchase(t), F.col("last_order_date")).alias("recency_days"),
-            "frequency",
-            "monetary",
-        )
-    )
-    measures = ["recency_days", "frequency", "monetary"]
-    bucket, measure = tile(buckets), F.col("measure")
-    scored = ranked(people, PERSON, measures).groupBy(PERSON).agg(
-        *(F.max(m).alias(m) for m in measures),
-        F.max(F.when(measure == 0, F.lit(buckets + 1) - bucket)).cast("int").alias("r_score"),
-        F.max(F.when(measure == 1, bucket)).cast("int").alias("f_score"),
-        F.max(F.when(measure == 2, bucket)).cast("int").alias("m_score"),
-    ).withColumn("segment", segment(F.col("r_score"), F.col("f_score"), F.col("m_score")))
-    return scored.orderBy(F.desc_nulls_first("monetary"), PERSON) if ordered else scored
+    return scored(customer_totals(t), last_purchase(t), buckets, ordered)
+
+
+def scored(
+    totals: DataFrame, last: Column, buckets: int = 5, ordered: bool = False
+) -> DataFrame:
+    """Segments of people's ``totals``, recency measured at ``last``.
+
+    The cuts between buckets are found by counting; a person's scores then follow from the
+    person's own row.
+    """
+    people = materialize(totals.select(
+        PERSON, whole_days(last, F.col("last_order_date")).alias("recency_days"), "frequency",
+        "monetary",
+    ))
+    values = [F.col("recency_days"), F.col("frequency"), cents("monetary")]
+    names = ["r_score", "f_score", "m_score"]
+    tiled = parts_of(people, cuts(people, PERSON, values, buckets), PERSON, values, names)
+    segments = tiled.withColumn("r_score", F.lit(buckets + 1) - F.col("r_score")).withColumn(
+        "segment", segment(*map(F.col, names)))
+    return segments.orderBy(F.desc_nulls_first("monetary"), PERSON) if ordered else segments

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from souk.functions import exact
 from souk.operators.delivery import EARLY, VERY_LATE
 from souk.operators.rfm import AT_RISK_GROUP
-from souk.plans.rank import ranked
+from souk.plans.select import at_positions, listed
 from souk.plans.slices import PERSON
 from souk.plans.tables import materialize
 
@@ -105,11 +105,15 @@ def ltv_histogram(totals: DataFrame, bins: int = 50) -> DataFrame:
 
 def ltv_stats(totals: DataFrame) -> DataFrame:
     """Exact median, mean and largest lifetime value, and people with several orders."""
-    people = materialize(totals.select(PERSON, "monetary", "frequency"))
-    size, position = F.col("size"), F.col("position")
-    middle = (position == F.floor((size - 1) / 2)) | (position == F.floor(size / 2))
-    median = ranked(people, PERSON, ["monetary"]).filter(middle).select(
-        exact.mean(F.sum(exact.cents("monetary")), F.count("*"), 0, units=100)
+    people = materialize(totals.select("monetary", "frequency"))
+    values = listed(people, [exact.cents("monetary")])
+    middle = values.groupBy("measure").agg(F.count("*").alias("rows")).select(
+        "measure",
+        F.explode(F.array_distinct(F.array(
+            F.floor((F.col("rows") - 1) / 2), F.floor(F.col("rows") / 2)))).alias("position"),
+    )
+    median = at_positions(values, middle).select(
+        exact.mean(F.sum("value"), F.count("*"), 0, units=100)
     ).scalar()
     return people.agg(
         F.max(median).alias("median"),

@@ -1,9 +1,11 @@
 """Running computations per person that stay spread when one person is huge.
 
-A window partitioned by person would put all of a person's rows in one task. Rows are
-range-partitioned by person *and* time instead, each range becomes a slice, windows run
-per (person, slice), and the state at the end of each slice is carried to the person's
-later slices. The plan is the same whatever the data.
+A window partitioned by person puts all of a person's rows in one task. Few people can hold
+a large share of all rows, though; their number is bounded by the share. Rows are written
+once, people are counted, and a bounded sample of the large ones' times cuts those people's
+time lines into slices. Windows run per (person, slice), and the state at the end of each
+slice is carried to the person's later slices. Everybody else is one slice. The plan is the
+same whatever the data, and where slices are cut changes no result.
 """
 
 from __future__ import annotations
@@ -16,20 +18,42 @@ from pyspark.sql import functions as F
 from souk.plans.tables import materialize
 
 PERSON = "customer_unique_id"
+#: A person with this share of all rows, or more, is cut into slices of about that share.
+SHARE = 256
+#: Sampled rows between two cuts.
+_APART = 32
 
 
 class Timeline:
     """A person's rows in time order, ready for windows.
 
     ``rows`` holds the data, ``window`` the order within a person's slice. ``carry``
-    brings in what earlier slices of the person left behind.
+    brings in what earlier slices of the person left behind. No two rows of a person have
+    the same ``order``.
     """
 
     def __init__(self, rows: DataFrame, order: Sequence[str]):
-        # Written first, as choosing the ranges reads the rows a second time.
-        self.rows = materialize(
-            materialize(rows).repartitionByRange(PERSON, *order)
-            .withColumn("slice", F.spark_partition_id())
+        written = materialize(rows)
+        total = written.select(F.count("*")).scalar()
+        # At most SHARE people, as each has its share of the rows.
+        self.large = (
+            written.groupBy(PERSON).agg(F.count("*").alias("held"))
+            .filter((F.col("held") > 1) & (F.col("held") * SHARE >= total)).select(PERSON)
+        )
+        place = F.struct(*order)
+        step = F.greatest(F.floor(total / (SHARE * _APART)), F.lit(1))
+        # SHARE * _APART rows in all, as far as hashes are even; where it is cut is free.
+        sample = (
+            written.join(F.broadcast(self.large), PERSON, "left_semi")
+            .filter(F.pmod(F.xxhash64(*order), step) == 0)
+            .groupBy(PERSON).agg(F.array_sort(F.collect_list(place)).alias("places"))
+            .select(PERSON, F.filter("places", lambda _, i: i % _APART == _APART - 1).alias("cuts"))
+        )
+        reached = F.size(F.filter("cuts", lambda cut: cut <= place))
+        self.rows = (
+            written.join(F.broadcast(sample), PERSON, "left")
+            .withColumn("slice", F.when(F.col("cuts").isNull(), 0).otherwise(reached))
+            .drop("cuts")
         )
         self.window: WindowSpec = Window.partitionBy(PERSON, "slice").orderBy(*order)
 
@@ -37,30 +61,16 @@ class Timeline:
         """``rows`` with a column per entry of ``state``: NULL unless a person continues.
 
         ``totals`` aggregate a (person, slice); ``state`` derives from them over the
-        person's slices, ordered, through ``earlier()`` or ``previous()``. Only the first
-        and last person of a slice can continue, so the carried rows number at most two
-        per slice. They are broadcast, and a slice with a third one fails the query.
+        person's slices, ordered, through ``earlier()`` or ``previous()``. Only the large
+        people have several slices, so the carried rows number about two per share and are
+        broadcast.
         """
-        edges = self.rows.groupBy("slice").agg(
-            F.min(PERSON).alias("first_person"), F.max(PERSON).alias("last_person")
-        )
-        continuing = (
-            edges.select(
-                F.explode(F.array_distinct(F.array("first_person", "last_person"))).alias(PERSON)
-            )
-            .groupBy(PERSON).agg(F.count("*").alias("slices")).filter("slices > 1")
-        )
         ends = (
-            self.rows.join(F.broadcast(continuing), PERSON, "left_semi")
+            self.rows.join(F.broadcast(self.large), PERSON, "left_semi")
             .groupBy(PERSON, "slice").agg(*(c.alias(name) for name, c in totals.items()))
         )
-        of_slice = F.count("*").over(Window.partitionBy("slice"))
         carried = ends.select(
-            PERSON, "slice", *(c.alias(name) for name, c in state.items()),
-            F.assert_true(of_slice <= 2, F.lit("a slice carries more than two people"))
-            .alias("bounded"),
-        )
-        carried = carried.filter(F.col("bounded").isNull()).drop("bounded")
+            PERSON, "slice", *(c.alias(name) for name, c in state.items()))
         return self.rows.join(F.broadcast(carried), [PERSON, "slice"], "left")
 
 
