@@ -1,4 +1,4 @@
-"""Time quintiles of three measures: positions in ranges against the built-in ``ntile``.
+"""Time quintiles of three measures: cuts by counting, positions in ranges, ``ntile``.
 
 ``python bench_quintiles.py 200000 2000000`` prints a JSON line per number of rows, the
 second run of each. ``BENCH_CPUS`` chooses the cores, ``BENCH_NTILE=0`` leaves ``ntile`` out.
@@ -15,7 +15,9 @@ import time
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from souk.functions.exact import cents
 from souk.plans.rank import ranked, tile
+from souk.plans.select import cuts, part
 from souk.plans.session import session
 from souk.plans.tables import materialize, owned
 
@@ -39,6 +41,13 @@ def by_position(frame: DataFrame) -> DataFrame:
     )
 
 
+def by_cuts(frame: DataFrame) -> DataFrame:
+    values = [F.col("recency_days"), F.col("frequency"), cents("monetary")]
+    found = cuts(frame, "person", values, 5)
+    return frame.select("person", *(
+        part(found, n, v, "person").alias(MEASURES[n]) for n, v in enumerate(values)))
+
+
 def by_ntile(frame: DataFrame) -> DataFrame:
     return frame.select("person", *(
         F.ntile(5).over(Window.orderBy(m, "person")).alias(m) for m in MEASURES))
@@ -46,7 +55,7 @@ def by_ntile(frame: DataFrame) -> DataFrame:
 
 def main(sizes: list[int]) -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
-    plans = {"positions": by_position}
+    plans = {"cuts": by_cuts, "positions": by_position}
     if os.environ.get("BENCH_NTILE", "1") != "0":
         plans["ntile"] = by_ntile
     with tempfile.TemporaryDirectory(prefix="souk-bench-") as scratch:

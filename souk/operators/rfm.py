@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from souk.functions.calendar import whole_days
 from souk.functions.exact import cents
 from souk.operators.orders import customer_totals, last_purchase
-from souk.plans.select import cuts, parts_of
+from souk.plans.select import cuts, part
 from souk.plans.slices import PERSON
 from souk.plans.tables import materialize
 from souk.schema import Tables
@@ -67,8 +67,9 @@ def scored(
         "monetary",
     ))
     values = [F.col("recency_days"), F.col("frequency"), cents("monetary")]
-    names = ["r_score", "f_score", "m_score"]
-    tiled = parts_of(people, cuts(people, PERSON, values, buckets), PERSON, values, names)
-    segments = tiled.withColumn("r_score", F.lit(buckets + 1) - F.col("r_score")).withColumn(
-        "segment", segment(*map(F.col, names)))
+    found = cuts(people, PERSON, values, buckets)
+    recency, frequency, money = (part(found, n, v, PERSON) for n, v in enumerate(values))
+    segments = people.withColumns({
+        "r_score": F.lit(buckets + 1) - recency, "f_score": frequency, "m_score": money,
+    }).withColumn("segment", segment(F.col("r_score"), F.col("f_score"), F.col("m_score")))
     return segments.orderBy(F.desc_nulls_first("monetary"), PERSON) if ordered else segments

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from souk.functions import exact
 from souk.operators.delivery import EARLY, VERY_LATE
 from souk.operators.rfm import AT_RISK_GROUP
-from souk.plans.select import at_positions, listed
+from souk.plans.select import at_positions
 from souk.plans.slices import PERSON
 from souk.plans.tables import materialize
 
@@ -106,17 +106,13 @@ def ltv_histogram(totals: DataFrame, bins: int = 50) -> DataFrame:
 def ltv_stats(totals: DataFrame) -> DataFrame:
     """Exact median, mean and largest lifetime value, and people with several orders."""
     people = materialize(totals.select("monetary", "frequency"))
-    values = listed(people, [exact.cents("monetary")])
-    middle = values.groupBy("measure").agg(F.count("*").alias("rows")).select(
-        "measure",
-        F.explode(F.array_distinct(F.array(
-            F.floor((F.col("rows") - 1) / 2), F.floor(F.col("rows") / 2)))).alias("position"),
-    )
-    median = at_positions(values, middle).select(
-        exact.mean(F.sum("value"), F.count("*"), 0, units=100)
-    ).scalar()
+    middle = at_positions(
+        people, [exact.cents("monetary")], lambda rows: ((rows - 1) // 2, rows // 2))
+    # One row in the middle stands for two.
+    total, rows = sum(f.value for f in middle), len(middle)
+    median = exact.mean(F.lit(total), F.lit(rows), 0, units=100)
     return people.agg(
-        F.max(median).alias("median"),
+        median.alias("median"),
         _mean_spend().alias("mean"),
         F.round(F.max("monetary"), 0).cast("decimal(18,0)").alias("max"),
         F.count_if(F.col("frequency") > 1).alias("multi_order"),

@@ -36,22 +36,22 @@ class Timeline:
         written = materialize(rows)
         total = written.select(F.count("*")).scalar()
         # At most SHARE people, as each has its share of the rows.
-        self.large = (
+        large = (
             written.groupBy(PERSON).agg(F.count("*").alias("held"))
             .filter((F.col("held") > 1) & (F.col("held") * SHARE >= total)).select(PERSON)
         )
         place = F.struct(*order)
         step = F.greatest(F.floor(total / (SHARE * _APART)), F.lit(1))
         # SHARE * _APART rows in all, as far as hashes are even; where it is cut is free.
-        sample = (
-            written.join(F.broadcast(self.large), PERSON, "left_semi")
+        self.cuts = materialize(
+            written.join(F.broadcast(large), PERSON, "left_semi")
             .filter(F.pmod(F.xxhash64(*order), step) == 0)
             .groupBy(PERSON).agg(F.array_sort(F.collect_list(place)).alias("places"))
             .select(PERSON, F.filter("places", lambda _, i: i % _APART == _APART - 1).alias("cuts"))
         )
         reached = F.size(F.filter("cuts", lambda cut: cut <= place))
         self.rows = (
-            written.join(F.broadcast(sample), PERSON, "left")
+            written.join(F.broadcast(self.cuts), PERSON, "left")
             .withColumn("slice", F.when(F.col("cuts").isNull(), 0).otherwise(reached))
             .drop("cuts")
         )
@@ -61,12 +61,12 @@ class Timeline:
         """``rows`` with a column per entry of ``state``: NULL unless a person continues.
 
         ``totals`` aggregate a (person, slice); ``state`` derives from them over the
-        person's slices, ordered, through ``earlier()`` or ``previous()``. Only the large
-        people have several slices, so the carried rows number about two per share and are
+        person's slices, ordered, through ``earlier()`` or ``previous()``. Only people who are
+        cut have several slices, so the carried rows number about two per share and are
         broadcast.
         """
         ends = (
-            self.rows.join(F.broadcast(self.large), PERSON, "left_semi")
+            self.rows.join(F.broadcast(self.cuts), PERSON, "left_semi")
             .groupBy(PERSON, "slice").agg(*(c.alias(name) for name, c in totals.items()))
         )
         carried = ends.select(

@@ -19,6 +19,7 @@ from souk.operators.orders import customer_totals
 from souk.operators.value import customer_ltv
 from souk.plans import slices, tables
 from souk.plans.rank import ranked, tile
+from souk.plans.select import at_positions, cuts, part
 from souk.plans.tables import materialize
 from souk.sources.star import read_star
 from tests.tiny import rows, shop
@@ -76,6 +77,59 @@ def test_crowded_values_spread_over_slices(numbers, unmerged):
     assert not re.search(r"Window \[row_number\(\)[^\n]*\], \[measure\], ", text)
 
 
+def spread(spark, values, parts=4):
+    kinds = "value long, key string"
+    return materialize(spark.createDataFrame(
+        [(v, f"k{i * 7919 % 1000:03d}") for i, v in enumerate(values)], kinds).repartition(parts))
+
+
+@pytest.mark.parametrize("values", [
+    [], [5], [None, None], [3, 1, 2], [7] * 50, [0, -1, 1, None, -(2**63), 2**63 - 1, 0],
+    [(-1) ** i * i**7 for i in range(300)], [i % 4 for i in range(500)],
+    [2**40 + i // 3 for i in range(400)],
+])
+def test_values_at_positions_equal_a_sort(spark, values):
+    known = sorted(v for v in values if v is not None)
+    found = at_positions(spread(spark, values), [F.col("value"), F.lit(3)],
+                         lambda rows: {0, rows // 3, (rows - 1) // 2, rows // 2, rows - 1, rows, -1})
+    for f in found:
+        order = known if f.measure == 0 else [3] * len(values)
+        assert order[f.position] == f.value
+        assert f.left == f.position - order.index(f.value)
+    assert {f.position for f in found if f.measure == 0} == {
+        p for p in (0, len(known) // 3, (len(known) - 1) // 2, len(known) // 2, len(known) - 1)
+        if 0 <= p < len(known)}
+
+
+@pytest.mark.parametrize("size", [0, 1, 4, 5, 7, 12, 101, 999])
+@pytest.mark.parametrize("distinct", [1, 3, 10**6])
+def test_cuts_equal_ntile(spark, size, distinct):
+    df = spread(spark, [i * 31 % 1009 % distinct - 5 for i in range(size)])
+    by = Window.orderBy("value", "key")
+    found = cuts(df, "key", [F.col("value"), -F.col("value")], 5)
+    wrong = df.select(
+        part(found, 0, F.col("value"), "key").alias("a"), F.ntile(5).over(by).alias("b"),
+        part(found, 1, -F.col("value"), "key").alias("c"),
+        F.ntile(5).over(Window.orderBy(-F.col("value"), "key")).alias("d"),
+    ).filter("a != b OR c != d")
+    assert wrong.count() == 0 and len(found) == 2 * min(4, max(0, size - 1))
+
+
+def test_only_ties_of_a_cut_are_dealt_by_key(star, monkeypatch):
+    from souk.plans import select
+    written = []
+    monkeypatch.setattr(
+        select, "materialize", lambda df: written.append(materialize(df)) or written[-1])
+    people = rfm.rfm_segments(star)
+    tied = written[0].groupBy("measure").agg(F.count_distinct("value").alias("n")).collect()
+    assert len(written) == 1 and all(r["n"] <= 4 for r in tied)
+    assert "Window" not in plan(people) and "Exchange" not in plan(people)
+
+
+def test_median_deals_no_rows_by_range(star):
+    assert "rangepartitioning" not in plan(summaries.ltv_stats(customer_totals(star)))
+
+
 def test_scores_equal_global_ntile(star):
     scored = rfm.rfm_segments(star)
     person = slices.PERSON
