@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from decimal import Decimal
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from souk.functions import exact
@@ -21,8 +21,15 @@ def churn_risk(
 
     Silence is measured at the latest purchase of all orders.
     """
+    return churned(order_gaps(placed_orders(t)), last_purchase(t), factor, ordered)
+
+
+def order_gaps(placed: DataFrame, **more: Column) -> DataFrame:
+    """Per person: ``order_count``, ``gaps`` between orders and their ``gap_days`` in all, and
+    ``last_order_date``. ``more`` aggregates further of a person's orders.
+    """
     bought = F.col("order_purchase_timestamp")
-    line = Timeline(placed_orders(t), ["order_purchase_timestamp", "order_id"])
+    line = Timeline(placed, ["order_purchase_timestamp", "order_id"])
     rows = line.carry(
         totals={"slice_last": F.max("order_purchase_timestamp")},
         state={"last_before": previous("slice_last")},
@@ -30,19 +37,28 @@ def churn_risk(
     gap = whole_days(
         bought, F.coalesce(F.lag("order_purchase_timestamp").over(line.window), "last_before")
     )
-    people = (
-        rows.select(PERSON, "order_purchase_timestamp", gap.alias("gap"))
+    return (
+        rows.select(PERSON, "order_purchase_timestamp", "order_id", gap.alias("gap"))
         .groupBy(PERSON)
         .agg(
             F.count("*").alias("order_count"),
-            exact.mean(F.sum("gap"), F.count("gap"), 1).alias("avg_days_between"),
+            F.coalesce(F.sum("gap"), F.lit(0)).alias("gap_days"),
+            F.count("gap").alias("gaps"),
             F.max("order_purchase_timestamp").alias("last_order_date"),
+            *(column.alias(name) for name, column in more.items()),
         )
-        .filter("order_count > 1")
     )
+
+
+def churned(
+    gaps: DataFrame, last: Column, factor: float | Decimal = Decimal("1.5"), ordered: bool = False
+) -> DataFrame:
+    """``churn_risk`` of people whose orders ``order_gaps`` summed up, silent until ``last``."""
+    people = gaps.filter("order_count > 1").withColumn(
+        "avg_days_between", exact.mean(F.col("gap_days"), F.col("gaps"), 1))
     threshold = F.col("avg_days_between") * F.lit(Decimal(str(factor)))
     result = people.withColumns({
-        "days_since_last": whole_days(last_purchase(t), F.col("last_order_date")),
+        "days_since_last": whole_days(last, F.col("last_order_date")),
         "churn_threshold": F.round(threshold, 1).cast("decimal(18,1)"),
     }).select(
         PERSON, "order_count", "avg_days_between", "last_order_date", "days_since_last",

@@ -26,7 +26,15 @@ def cohort_retention(t: Tables) -> DataFrame:
     start, end = t.orders.agg(F.min(month), F.max(month)).first()
     if start is None:
         start = end = 0
-    words = (end - start) // WORD + 1
+    people = (
+        placed_orders(t).select(PERSON, (month - start).alias("offset"))
+        .groupBy(PERSON).agg(F.min("offset").alias("first"), *active_months(start, end))
+    )
+    return retention(people, start, end)
+
+
+def active_months(start: int, end: int) -> list[Column]:
+    """Aggregates of ``offset``, months since ``start``: bits, ``months_0`` and so on."""
     offset = F.col("offset")
 
     def months_of(word: int) -> Column:
@@ -34,14 +42,17 @@ def cohort_retention(t: Tables) -> DataFrame:
         inside = offset.between(word * WORD, word * WORD + WORD - 1)
         return F.bit_or(F.when(inside, bit).otherwise(F.lit(0).cast("bigint")))
 
-    names = [f"months_{word}" for word in range(words)]
-    alike = (
-        placed_orders(t).select(PERSON, (month - start).alias("offset"))
-        .groupBy(PERSON)
-        .agg(F.min("offset").alias("first"),
-             *(months_of(word).alias(name) for word, name in enumerate(names)))
-        .groupBy("first", *names).agg(F.count("*").alias("people"))
-    )
+    return [months_of(word).alias(name) for word, name in enumerate(_words(start, end))]
+
+
+def _words(start: int, end: int) -> list[str]:
+    return [f"months_{word}" for word in range((end - start) // WORD + 1)]
+
+
+def retention(people: DataFrame, start: int, end: int) -> DataFrame:
+    """``cohort_retention`` of people with their ``first`` month and the bits of active ones."""
+    names, offset = _words(start, end), F.col("offset")
+    alike = people.groupBy("first", *names).agg(F.count("*").alias("people"))
     word_of = F.element_at(F.array(*names), (offset / WORD).cast("int") + 1)
     activity = (
         alike.withColumn("offset", F.explode(F.sequence("first", F.lit(end - start))))

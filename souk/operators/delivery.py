@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from souk.functions import exact
@@ -23,29 +23,34 @@ def delivery_performance(t: Tables, extremes: bool = True) -> DataFrame:
 
     ``extremes=False`` leaves the lowest and highest score out.
     """
-    delta = whole_days(
-        F.col("order_delivered_customer_date"), F.col("order_estimated_delivery_date")
+    orders = (
+        t.orders.select("order_id", days_late().alias("delta")).filter("delta IS NOT NULL")
+        .join(order_reviews(t), "order_id", "left").withColumn("rows", joined_rows())
     )
-    bucket = (
-        F.when(F.col("delta") < 0, EARLY)
-        .when(F.col("delta") == 0, ON_TIME)
-        .when(F.col("delta") <= 7, LATE)
+    return summarised(orders, extremes)
+
+
+def days_late() -> Column:
+    """Whole days that a delivered order came late; NULL for any other."""
+    return F.when(F.col("order_status") == "delivered", whole_days(
+        F.col("order_delivered_customer_date"), F.col("order_estimated_delivery_date")))
+
+
+def bucket(delta: Column) -> Column:
+    return (
+        F.when(delta < 0, EARLY).when(delta == 0, ON_TIME).when(delta <= 7, LATE)
         .otherwise(VERY_LATE)
     )
-    rows = joined_rows()
+
+
+def summarised(parts: DataFrame, extremes: bool = True) -> DataFrame:
+    """Results by bucket of ``delta``, ``rows`` and review sums, of orders or of days."""
+    rows, delta = F.col("rows"), F.col("delta")
     result = (
-        t.orders
-        .filter(
-            (F.col("order_status") == "delivered")
-            & F.col("order_delivered_customer_date").isNotNull()
-            & F.col("order_estimated_delivery_date").isNotNull()
-        )
-        .select("order_id", delta.alias("delta"))
-        .join(order_reviews(t), "order_id", "left")
-        .groupBy(bucket.alias("delivery_bucket"))
+        parts.groupBy(bucket(delta).alias("delivery_bucket"))
         .agg(
             F.sum(rows).alias("order_count"),
-            exact.mean(F.sum(F.col("delta") * rows), F.sum(rows), 1).alias("avg_delta_days"),
+            exact.mean(F.sum(delta * rows), F.sum(rows), 1).alias("avg_delta_days"),
             exact.mean(F.sum("score_sum"), F.sum("scores"), 2).alias("avg_review_score"),
             F.min("score_min").cast("decimal(18,2)").alias("min_review"),
             F.max("score_max").cast("decimal(18,2)").alias("max_review"),

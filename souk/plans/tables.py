@@ -35,7 +35,7 @@ def scratch_path(spark: SparkSession) -> str:
     path = f"{scratch_folder(spark)}/souk-{uuid.uuid4().hex}"
     owner = _owned.get()
     if owner is None:
-        files, place = _files(spark, path)
+        files, place = file_system(spark, path)
         files.deleteOnExit(place)
     else:
         owner.append(path)
@@ -60,11 +60,11 @@ def owned(spark: SparkSession) -> Iterator[None]:
     finally:
         _owned.reset(token)
         for path in paths:
-            files, place = _files(spark, path)
+            files, place = file_system(spark, path)
             files.delete(place, True)
 
 
-def _files(spark: SparkSession, path: str):
+def file_system(spark: SparkSession, path: str):
     """Hadoop's view of where ``path`` is, whatever store that is."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     return place.getFileSystem(spark._jsc.hadoopConfiguration()), place

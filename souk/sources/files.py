@@ -7,6 +7,7 @@ from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
+from souk.plans import versions
 from souk.schema import SCHEMAS, Tables
 
 # The one table with free text, whose quoted values hold line breaks.
@@ -63,25 +64,50 @@ def write_csv(t: Tables, folder: str) -> None:
         ).csv(f"{folder}/{name}")
 
 
+def current(spark: SparkSession, folder: str) -> str:
+    """Where the newest complete version of ``write_parquet``'s tables lies."""
+    complete = versions.committed(spark, folder)
+    if not complete:
+        raise FileNotFoundError(f"no complete version in {folder}")
+    return f"{folder}/v{complete[-1]}"
+
+
 def read_parquet(spark: SparkSession, folder: str) -> Tables:
-    """All tables as ``write_parquet`` left them."""
+    """All tables of the newest version that ``write_parquet`` completed."""
+    place = current(spark, folder)
     return Tables(**{
-        name: partial(spark.read.schema(schema).parquet, f"{folder}/{name}")
+        name: partial(spark.read.schema(schema).parquet, f"{place}/{name}")
         for name, schema in SCHEMAS.items()
     })
 
 
-def write_parquet(t: Tables, folder: str) -> None:
+def append_parquet(rows: Mapping[str, DataFrame], folder: str) -> None:
+    """Add rows to some tables of the newest version."""
+    for name, df in rows.items():
+        df.write.mode("append").parquet(f"{current(df.sparkSession, folder)}/{name}")
+
+
+def write_parquet(t: Tables, folder: str, keep: int = 2) -> None:
     """Create or replace the tables as parquet folders.
 
+    All tables together are a version, written beside the one before: until the last is
+    complete, and if writing fails, readers find the old ones. The ``keep`` newest stay, for
+    readers that opened one. Two writers at a time don't mix: the later one to finish fails.
+
     Orders are laid out by time, so that a date range reads only the files that hold it;
     ordering equal times by id keeps a crowded moment from filling one file.
     """
+    spark = t.orders.sparkSession
+    complete = versions.committed(spark, folder)
+    number = max(complete, default=0) + 1
     for name, df in t.items():
         if name == "orders":
             time = ["order_purchase_timestamp", "order_id"]
             df = df.repartitionByRange(*time).sortWithinPartitions(*time)
-        df.write.mode("overwrite").parquet(f"{folder}/{name}")
+        df.write.mode("overwrite").parquet(f"{folder}/v{number}/{name}")
+    versions.commit(spark, folder, number)
+    for old in [*complete, number][:-keep]:
+        versions.retire(spark, folder, old, f"{folder}/v{old}")
 
 
 def write_bucketed(t: Tables, database: str, buckets: int) -> None:

@@ -112,7 +112,7 @@ def test_live_views_see_new_orders_and_snapshots_when_refreshed(spark, tmp_path)
         assert spark.sql(f"SELECT * FROM {name}").count() > 0
     more = shop(spark, [purchase("o3", 3)])
     for name, df in more.items():
-        df.write.mode("append").parquet(f"{folder}/{name}")
+        df.write.mode("append").parquet(f"{files.current(spark, folder)}/{name}")
     now = files.read_parquet(spark, folder)
     register_views(now)
     for name, before, after in [("v_clv", 2, 3), ("v_cohort_retention", 2, 3)]:
@@ -121,7 +121,7 @@ def test_live_views_see_new_orders_and_snapshots_when_refreshed(spark, tmp_path)
         assert spark.table(name).count() == after
     spark.createDataFrame(
         [("o9", "o9", "delivered", datetime(2018, 1, 1), None, None, datetime(2018, 1, 2),
-          datetime(2018, 1, 9))], SCHEMAS["orders"]).write.mode("append").parquet(f"{folder}/orders")
+          datetime(2018, 1, 9))], SCHEMAS["orders"]).write.mode("append").parquet(f"{files.current(spark, folder)}/orders")
     register_views(files.read_parquet(spark, folder))
     assert spark.table("v_delivery_performance").agg(F.sum("order_count")).first()[0] == 1
 
