@@ -16,6 +16,9 @@ def spark(tmp_path_factory):
         **{
             "spark.sql.shuffle.partitions": "8",
             "spark.ui.enabled": "false",
+            # Many small plans: what is compiled once is kept, and compiled quickly.
+            "spark.sql.codegen.cache.maxEntries": "2000",
+            "spark.driver.extraJavaOptions": "-XX:TieredStopAtLevel=1",
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("scratch")),
             "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
         },
