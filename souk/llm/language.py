@@ -176,7 +176,7 @@ def _count(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.RecordBa
     for batch, texts in slices(batches, "text", _SLICE):
         langs = np.array(batch.column("lang").to_pylist())
         names, which = np.unique(langs, return_inverse=True)
-        if len(counts) + len(names) > MATRIX_LIMIT >> bits:
+        if len({*counts, *names.tolist()}) > MATRIX_LIMIT >> bits:
             raise ValueError(f"more than {MATRIX_LIMIT >> bits} languages")
         for name, held in zip(names.tolist(), np.bincount(which).tolist()):
             counts.setdefault(name, np.zeros(1 << bits, np.int64))
