@@ -260,3 +260,12 @@ def test_turns_of_conversations(spark):
     assert got["1:3"].message == (
         '{"arguments":{"after":1,"text":"q \\"é\\"\\n","turn":3},"id":"1:3","name":"reply"}')
     assert tools.linked_turns(table.limit(0)).collect() == []
+
+
+def test_filter_takes_linear_time(spark):
+    import time
+    texts = spark.range(1).select(F.repeat(F.lit("z"), 1_000_000).alias("text"))
+    texts.filter(F.col("text").rlike(secrets.CANDIDATE)).count()
+    start = time.perf_counter()
+    assert texts.filter(F.col("text").rlike(secrets.CANDIDATE)).count() == 0
+    assert time.perf_counter() - start < 5
