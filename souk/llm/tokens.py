@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from souk.plans.tables import materialize
+
 SPAN = 1024
 
 
@@ -23,7 +25,8 @@ def histogram(lengths: DataFrame, length_col: str = "n_tokens", span: int = SPAN
     from the next longer row. A NULL length counts as 0; no documents give no rows.
     """
     counts = lengths.select(F.coalesce(F.col(length_col), F.lit(0)).cast("long").alias("n_tokens"))
-    counts = counts.groupBy("n_tokens").agg(F.count("*").alias("docs"))
+    # A row per length: written, as lengths may be costly to make and are read twice.
+    counts = materialize(counts.groupBy("n_tokens").agg(F.count("*").alias("docs")))
     counts = counts.withColumn("span", F.floor(F.col("n_tokens") / span)).withColumn(
         "tokens", F.col("docs") * F.col("n_tokens")
     )
