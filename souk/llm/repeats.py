@@ -26,7 +26,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from souk.llm.frames import bitmap, holds
@@ -38,6 +38,9 @@ SPAN = 128
 STEP = 32
 _SEED = 16  # bytes that choose an anchor
 _POSITION_BITS = 36
+_SLICE = 1 << 18  # some ten numbers a byte are held at once
+#: Starts of a text that are joined to runs together.
+_BLOCK = 1 << 16
 
 
 def repeated(
@@ -128,13 +131,20 @@ def _repeated_strings(docs: DataFrame, size: int) -> DataFrame:
     names = strings.groupBy("name").agg(
         F.count("*").alias("times"), F.bool_or("open").alias("any_open")
     ).filter("times > 1 AND any_open").select("name")
-    found = strings.filter("open").join(names, "name", "left_semi").select(
-        "key", "at", F.lit(1).cast("long").alias("count"))
-    return settled.unionByName(found)
+    found = strings.filter("open").join(names, "name", "left_semi").select("key", "at")
+    return settled.unionByName(_in_runs(found))
+
+
+def _in_runs(starts: DataFrame) -> DataFrame:
+    """Rows (key, at, count) of starts (key, at): those that follow each other are one."""
+    blocks = starts.distinct().withColumn("block", F.floor(F.col("at") / _BLOCK))
+    place = F.row_number().over(Window.partitionBy("key", "block").orderBy("at"))
+    return blocks.withColumn("run", F.col("at") - place).groupBy("key", "block", "run").agg(
+        F.min("at").alias("at"), F.count("*").alias("count")).select("key", "at", "count")
 
 
 def _anchors(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
-    for batch, texts in slices(batches, "text"):
+    for batch, texts in slices(batches, "text", _SLICE):
         first, count, anchor, prints = anchors(texts, size)
         if not len(first):
             continue
@@ -193,7 +203,7 @@ def _steps(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBa
 
     ``core`` names what a run's strings share, ``names`` packs the strings' own names.
     """
-    for batch, texts in slices(batches, "text"):
+    for batch, texts in slices(batches, "text", _SLICE):
         asked = batch.column("places")
         flat, parents = asked.flatten(), asked.value_lengths().to_numpy()
         core = flat.field("core").to_numpy().view(np.uint64)
@@ -251,7 +261,7 @@ def _strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _kept(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
     kind = pa.list_(pa.struct([("start", pa.int64()), ("until", pa.int64())]))
     for whole in batches:
-        for batch, texts in slices([whole], "text"):
+        for batch, texts in slices([whole], "text", _SLICE):
             spans, kept = [], []
             for i, marks in enumerate(batch.column("marks")):
                 data = texts.blob(i)
