@@ -294,19 +294,27 @@ class Ranks:
         heads = firsts[token_starts(points, bounds)]
         ends = np.append(heads[1:], len(texts.data))[:len(heads)]
         names = Fingerprints(texts.data).of(heads, ends)
+        ids, stops = self._looked_up(texts, heads, ends, names)
+        if not np.array_equal(self.decode(ids), texts.data):  # two pieces, one fingerprint
+            numbers: dict[bytes, int] = {}
+            ids, stops = self._looked_up(texts, heads, ends, np.array([
+                numbers.setdefault(texts.data[a:b].tobytes(), len(numbers))
+                for a, b in zip(heads.tolist(), ends.tolist())]))
+        lengths = self.lengths[ids]
+        offsets = np.cumsum(lengths) - lengths
+        counts = np.append(0, stops)[np.searchsorted(heads, texts.bounds)]
+        return ids, offsets, counts
+
+    def _looked_up(
+        self, texts: Texts, heads: np.ndarray, ends: np.ndarray, names: np.ndarray
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all pieces, those of one name looked up once, and where each piece's end."""
         _, where, which = np.unique(names, return_index=True, return_inverse=True)
         data = texts.data.tobytes()
         pieces = [data[a:b] for a, b in zip(heads[where].tolist(), ends[where].tolist())]
         slot = self.slots_of(pieces)[which] if pieces else np.zeros(0, np.int64)
         repeats = self.sizes[slot]
-        ids = self.flat[_runs(self.low[slot], repeats)]
-        stops = np.cumsum(repeats)
-        lengths = self.lengths[ids]
-        offsets = np.cumsum(lengths) - lengths
-        counts = np.append(0, stops)[np.searchsorted(heads, texts.bounds)]
-        if not np.array_equal(self.decode(ids), texts.data):  # two pieces, one fingerprint
-            raise ArithmeticError("fingerprints of two pieces collide")
-        return ids, offsets, counts
+        return self.flat[_runs(self.low[slot], repeats)], np.cumsum(repeats)
 
     def decode(self, ids: np.ndarray) -> np.ndarray:
         """The bytes of ``ids``, end to end."""

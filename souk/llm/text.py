@@ -1,10 +1,11 @@
 """Whole texts as numpy arrays: bytes, words, shingles and window fingerprints.
 
 A task handles the texts of an Arrow batch in slices of about a megabyte, so that its
-memory does not depend on how many rows a batch holds. Fingerprints are 64-bit
-polynomials over the bytes, read off prefix sums: any substring costs a subtraction and
-a product. Equal strings always have equal fingerprints; different ones collide with a
-chance of about 2**-64 a pair.
+memory does not depend on how many rows a batch holds. Fingerprints are two polynomials over
+the bytes, modulo a prime of 31 bits and with bases of their own, read off prefix sums: any
+substring costs two subtractions and products. Equal strings always have equal fingerprints;
+different ones collide with a chance of about 2**-62 a pair, and no structure of theirs
+raises that, as it does where the modulus is a power of two.
 """
 
 from __future__ import annotations
@@ -81,45 +82,72 @@ class Fingerprints:
     """Fingerprints of any substrings of ``data``; ``seed`` picks the function."""
 
     def __init__(self, data: np.ndarray, seed: int = 0):
-        table, self._powers, self._inverses = _polynomial(
-            seed, 1 << max(12, int(len(data)).bit_length())
-        )
-        self._sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(table[data] * self._powers[:len(data)], out=self._sums[1:])
+        self._parts = []
+        for part in (0, 1):
+            table, powers, inverses = _polynomial(2 * seed + part, len(data))
+            sums = np.zeros(len(data) + 1, np.uint32)
+            # Less than 2**31 each: 2**33 of them don't overflow.
+            total = np.cumsum(_reduced(table[data] * powers[:len(data)].astype(np.uint64)))
+            sums[1:] = _reduced(total)
+            self._parts.append((sums, inverses))
 
     def of(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        difference = self._sums[ends] - self._sums[starts]
-        return mixed(difference * self._inverses[starts])
+        return self._joined([
+            _between(sums[starts], sums[ends], inverses[starts]) for sums, inverses in self._parts])
 
     def windows(self, size: int) -> np.ndarray:
         """Of every substring of ``size`` bytes, by its start."""
-        count = max(0, len(self._sums) - size)
-        difference = self._sums[size:] - self._sums[:count]
-        return mixed(difference * self._inverses[:count])
+        count = max(0, len(self._parts[0][0]) - size)
+        return self._joined([
+            _between(sums[:count], sums[size:], inverses[:count])
+            for sums, inverses in self._parts])
 
+    @staticmethod
+    def _joined(parts: list[np.ndarray]) -> np.ndarray:
+        high, low = parts
+        return mixed(high << np.uint64(32) | low)
 
+
+_PRIME = np.uint64((1 << 31) - 1)
 _POLYNOMIALS: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
 
 
-def _polynomial(seed: int, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _reduced(values: np.ndarray) -> np.ndarray:
+    """``values`` modulo the prime, a power of two less one: its digits add up."""
+    for _ in range(2):
+        more = values >> np.uint64(31)
+        values = values & _PRIME
+        values += more
+    np.subtract(values, _PRIME, out=values, where=values >= _PRIME)
+    return values
+
+
+def _between(low: np.ndarray, high: np.ndarray, inverses: np.ndarray) -> np.ndarray:
+    """What prefix sums ``high`` have beyond ``low``, moved to the start."""
+    apart = high.astype(np.uint64) + (_PRIME - low.astype(np.uint64))
+    return _reduced(_reduced(apart) * inverses.astype(np.uint64))
+
+
+def _polynomial(number: int, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Values of bytes, powers of the base and their inverses; the longest asked is kept."""
-    if seed in _POLYNOMIALS and len(_POLYNOMIALS[seed][1]) >= size:
-        return _POLYNOMIALS[seed]
-    draw = np.random.default_rng(1_000_003 + seed)
-    table = draw.integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
-    base = int(draw.integers(1 << 40, 1 << 62)) * 8 + 5  # generates the odd residues
-    powers = np.empty(size, np.uint64)
-    inverses = np.empty(size, np.uint64)
-    for out, factor in ((powers, base % 2**64), (inverses, pow(base, -1, 2**64))):
-        out[0] = 1
+    if number in _POLYNOMIALS and len(_POLYNOMIALS[number][1]) >= size:
+        return _POLYNOMIALS[number]
+    prime = int(_PRIME)
+    draw = np.random.default_rng(1_000_003 + number)
+    table = draw.integers(1, prime, 256, dtype=np.uint64)
+    base = int(draw.integers(1 << 29, prime - 1))
+    size = 1 << max(12, size.bit_length())
+    out = []
+    for factor in (base, pow(base, -1, prime)):
+        powers = np.ones(size, np.uint32)
         filled = 1
         while filled < size:  # doubling keeps it vectorised
-            step = np.uint64(pow(factor, filled, 2**64))
-            more = min(filled, size - filled)
-            out[filled:filled + more] = out[:more] * step
-            filled += more
-    _POLYNOMIALS[seed] = table, powers, inverses
-    return _POLYNOMIALS[seed]
+            step = np.uint64(pow(factor, filled, prime))
+            powers[filled:2 * filled] = _reduced(powers[:filled].astype(np.uint64) * step)
+            filled *= 2
+        out.append(powers)
+    _POLYNOMIALS[number] = table, out[0], out[1]
+    return _POLYNOMIALS[number]
 
 
 class Words:

@@ -180,3 +180,39 @@ def test_removed_bytes_equal_brute_force(spark, size):
     assert by_row(digests) == by_row(
         (i, n, sum(b - a for a, b in spans), len(spans), hashlib.sha256(kept).hexdigest())
         for i, n, spans, kept in wanted)
+
+
+def test_words_that_swap_halves_are_told_apart():
+    """Each next half swaps two letters: equal modulo any power of two, whatever the base."""
+    import pyarrow as pa
+
+    from souk.llm.text import Fingerprints, Words, as_texts
+
+    word = "a"
+    while len(word) < 4096:
+        word += word.translate(str.maketrans("ab", "ba"))
+        swapped = word.translate(str.maketrans("ab", "ba"))
+        texts = as_texts(pa.array([word, swapped]))
+        for seed in range(3):
+            one, other = Fingerprints(texts.data, seed).of(texts.bounds[:-1], texts.bounds[1:])
+            assert one != other
+        assert len(np.unique(Words(texts).hashes)) == 2
+
+
+def test_fingerprints_are_those_of_the_bytes():
+    import pyarrow as pa
+
+    from souk.llm.text import Fingerprints, as_texts
+
+    draw = random.Random(5)
+    data = as_texts(pa.array(["".join(draw.choice("ab") for _ in range(3000))])).data
+    prints = Fingerprints(data, 1)
+    assert np.array_equal(prints.windows(9), prints.of(
+        np.arange(len(data) - 8), np.arange(9, len(data) + 1)))
+    names = {}
+    for start in range(0, len(data) - 20):
+        for size in (1, 7, 20):
+            piece = data[start:start + size].tobytes()
+            name = int(prints.of(np.array([start]), np.array([start + size]))[0])
+            assert names.setdefault(piece, name) == name
+    assert len(set(names.values())) == len(names)

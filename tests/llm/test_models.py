@@ -214,3 +214,47 @@ def test_histogram_answers_every_limit(spark):
         assert r.truncated_total == sum(min(n, limit) for n in known)
     assert tokens.histogram(table.limit(0)).collect() == []
     assert [tuple(r) for r in tokens.at_limits(tokens.histogram(table.limit(0)), asked.limit(1)).collect()] == [(0, 0, 0, 0)]
+
+
+def test_structured_texts_are_encoded_exactly():
+    import pyarrow as pa
+
+    from souk.llm.text import as_texts
+    ranks = bpe.Ranks.load(RANKS)
+    word = "a"
+    while len(word) < 1024:
+        word += word.translate(str.maketrans("ab", "ba"))
+    texts = [word, word.translate(str.maketrans("ab", "ba")), "x y  z x"]
+    known = tiktoken.Encoding(
+        "own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks.ids, special_tokens={})
+    for _ in range(2):
+        ids, _, bounds = ranks.encode(as_texts(pa.array(texts)))
+        for i, text in enumerate(texts):
+            assert ids[bounds[i]:bounds[i + 1]].tolist() == known.encode_ordinary(text)
+
+
+def test_pieces_of_one_fingerprint_are_looked_up_by_their_bytes(monkeypatch):
+    import pyarrow as pa
+
+    from souk.llm.text import Fingerprints, as_texts
+    monkeypatch.setattr(Fingerprints, "of", lambda self, starts, ends: np.zeros(len(starts), np.uint64))
+    ranks = bpe.Ranks.load(RANKS)
+    text = "one two three two one"
+    known = tiktoken.Encoding(
+        "own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks.ids, special_tokens={})
+    for _ in range(2):
+        ids, *_ = ranks.encode(as_texts(pa.array([text])))
+        assert ids.tolist() == known.encode_ordinary(text)
+
+
+@pytest.mark.parametrize("parts", [1, 3])
+def test_languages_up_to_the_bound_over_many_batches(spark, parts):
+    rows = [(i, f"text {i} abc", f"l{i % 256:03d}") for i in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").coalesce(parts)
+    size = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(size)
+    spark.conf.set(size, "500")
+    try:
+        assert len(language.train(docs).names) == 256
+    finally:
+        spark.conf.set(size, before)
