@@ -565,8 +565,33 @@ def oracles() -> dict[str, str]:
         ),
     }
     bodies["load_csv"] = bodies["load_parquet"] = bodies["state_revenue_summary"]
+    bodies["load_bucketed"] = bodies["order_value_tiers"]
+    bodies["load_checks"] = f"""
+        SELECT 'rows' AS check_name, table_name, '' AS column_name, row_count AS n
+        FROM ({bodies["row_count_validation"]})
+        UNION ALL SELECT 'nulls', table_name, column_name, n_null FROM ({bodies["null_checks"]})
+        UNION ALL SELECT 'long', table_name, column_name, n_long FROM ({bodies["length_checks"]})"""
+    bodies["integrity"] = f"""
+        SELECT 'keys' AS check_name, table_name || '.' || key_columns AS name, n_dup_keys AS n
+        FROM ({_duplicates()})
+        UNION ALL SELECT 'references', fk, n_orphans FROM ({_orphans()})"""
     bodies["read_views"] = """
-        SELECT segment, count(*) AS people,
-            (SELECT CAST(sum(order_count) AS BIGINT) FROM by_delivery) AS delivered
-        FROM segments GROUP BY segment"""
+        SELECT 'v_cohort_retention' AS view_name, '' AS item, count(*) AS n_rows,
+            CAST(sum(active) AS BIGINT) AS total FROM cohorts
+        UNION ALL
+        SELECT 'v_clv', '', count(*), CAST(sum(running) AS BIGINT) FROM (
+            SELECT sum(cents) OVER (PARTITION BY customer_unique_id
+                ORDER BY order_purchase_timestamp, order_id ROWS UNBOUNDED PRECEDING) AS running
+            FROM paid)
+        UNION ALL
+        SELECT 'v_rfm_segments', segment, count(*), CAST(sum(cents) AS BIGINT)
+        FROM segments GROUP BY segment
+        UNION ALL
+        SELECT 'v_churn_risk', CAST(is_churned AS VARCHAR), count(*),
+            CAST(sum(days_since_last) AS BIGINT)
+        FROM churn GROUP BY is_churned
+        UNION ALL
+        SELECT 'v_delivery_performance', delivery_bucket, order_count,
+            CAST(avg_review_score * 100 AS BIGINT)
+        FROM by_delivery"""
     return {key: _query(body) for key, body in bodies.items()}

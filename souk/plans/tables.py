@@ -14,12 +14,30 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
+from dataclasses import dataclass, field
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = ("spark.checkpoint.dir", "spark.sql.warehouse.dir")
 
-_owned: ContextVar[list[str] | None] = ContextVar("owned", default=None)
+
+
+@dataclass
+class Owner:
+    """What goes together: paths of written tables, and results by what they are of."""
+
+    paths: list[str] = field(default_factory=list)
+    results: dict[Any, list] = field(default_factory=dict)
+
+
+_owned: ContextVar[Owner | None] = ContextVar("owned", default=None)
+_drivers: dict[str, Owner] = {}
+
+
+def owner_of(spark: SparkSession) -> Owner:
+    """The owner of what is written now: the innermost ``owned()``, or the application."""
+    return _owned.get() or _drivers.setdefault(spark.sparkContext.applicationId, Owner())
 
 
 def scratch_folder(spark: SparkSession) -> str:
@@ -38,7 +56,7 @@ def scratch_path(spark: SparkSession) -> str:
         files, place = file_system(spark, path)
         files.deleteOnExit(place)
     else:
-        owner.append(path)
+        owner.paths.append(path)
     return path
 
 
@@ -53,13 +71,13 @@ def materialize(df: DataFrame) -> DataFrame:
 @contextmanager
 def owned(spark: SparkSession) -> Iterator[None]:
     """Owns what is written inside: results that read it must be used up before the end."""
-    paths: list[str] = []
-    token = _owned.set(paths)
+    owner = Owner()
+    token = _owned.set(owner)
     try:
         yield
     finally:
         _owned.reset(token)
-        for path in paths:
+        for path in owner.paths:
             files, place = file_system(spark, path)
             files.delete(place, True)
 

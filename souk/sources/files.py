@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Collection, Mapping
+from collections.abc import Callable, Collection, Mapping
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
@@ -87,12 +87,16 @@ def append_parquet(rows: Mapping[str, DataFrame], folder: str) -> None:
         df.write.mode("append").parquet(f"{current(df.sparkSession, folder)}/{name}")
 
 
-def write_parquet(t: Tables, folder: str, keep: int = 2) -> None:
+def write_parquet(
+    t: Tables, folder: str, keep: int = 2,
+    watched: Callable[[str, DataFrame], DataFrame] = lambda name, df: df,
+) -> None:
     """Create or replace the tables as parquet folders.
 
     All tables together are a version, written beside the one before: until the last is
     complete, and if writing fails, readers find the old ones. The ``keep`` newest stay, for
     readers that opened one. Two writers at a time don't mix: the later one to finish fails.
+    ``watched`` sees each table's rows as they are written, once.
 
     Orders are laid out by time, so that a date range reads only the files that hold it;
     ordering equal times by id keeps a crowded moment from filling one file.
@@ -104,16 +108,22 @@ def write_parquet(t: Tables, folder: str, keep: int = 2) -> None:
         if name == "orders":
             time = ["order_purchase_timestamp", "order_id"]
             df = df.repartitionByRange(*time).sortWithinPartitions(*time)
-        df.write.mode("overwrite").parquet(f"{folder}/v{number}/{name}")
+        watched(name, df).write.mode("overwrite").parquet(f"{folder}/v{number}/{name}")
     versions.commit(spark, folder, number)
     for old in [*complete, number][:-keep]:
         versions.retire(spark, folder, old, f"{folder}/v{old}")
 
 
-def write_bucketed(t: Tables, database: str, buckets: int) -> None:
-    """Create or replace catalog tables bucketed so that joins on orders do not shuffle."""
+def write_bucketed(
+    t: Tables, database: str, buckets: int, location: str | None = None
+) -> None:
+    """Create or replace catalog tables bucketed so that joins on orders do not shuffle.
+
+    A new database lies in ``location``, or where the catalog puts it.
+    """
     spark = t.orders.sparkSession
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    place = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}{place}")
     for name, df in t.items():
         writer = df.write.mode("overwrite").format("parquet")
         if name in BUCKET_KEYS:

@@ -12,12 +12,12 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
-from souk.operators import basic, joined, rfm, summaries
+from souk.operators import basic, joined, quality, rfm, summaries
 from souk.operators.churn import churn_risk
 from souk.operators.cohort import cohort_retention
 from souk.operators.orders import customer_totals
 from souk.operators.value import customer_ltv
-from souk.plans import slices, tables
+from souk.plans import results, slices, tables
 from souk.plans.rank import ranked, tile
 from souk.plans.select import at_positions, cuts, part
 from souk.plans.tables import materialize
@@ -351,3 +351,62 @@ def test_summaries_share_one_base(spark, star):
         counts, headline = summaries.rfm_segment_counts(base), summaries.rfm_headline(base)
         assert sum(r["count"] for r in counts.collect()) == headline.first().total_customers
         assert "ranked" not in plan(counts) and "Window" not in plan(counts)
+
+
+def test_summaries_of_one_result_compute_it_once(spark, sf_dir, monkeypatch):
+    runs = []
+    real = rfm.scored
+    monkeypatch.setattr(rfm, "scored", lambda *a, **k: runs.append(1) or real(*a, **k))
+    with tables.owned(spark):
+        bases = []
+        for _ in range(2):  # tables opened anew over the same files
+            base = results.shared(rfm.rfm_segments, read_star(spark, sf_dir))
+            bases.append(base.inputFiles())
+        assert len(runs) == 1 and bases[0] == bases[1]
+        results.shared(rfm.rfm_segments, read_star(spark, sf_dir), buckets=3)
+        results.shared(rfm.rfm_segments, read_star(spark, sf_dir.replace("0.01", "0.001")))
+        assert len(runs) == 3
+    with tables.owned(spark):  # the owner's results went with it
+        results.shared(rfm.rfm_segments, read_star(spark, sf_dir))
+    assert len(runs) == 4
+
+
+def test_a_shared_result_sees_new_files(spark, tmp_path):
+    from souk.sources import files
+    from tests.test_maintained import frames, make
+    folder = str(tmp_path / "shop")
+    made = make(2, orders=20)
+    files.write_parquet(frames(spark, made), folder)
+    with tables.owned(spark):
+        def totals():
+            return results.shared(customer_totals, files.read_parquet(spark, folder)).inputFiles()
+
+        first = totals()
+        files.append_parquet({"order_reviews": frames(spark, make(3, 2)).order_reviews}, folder)
+        assert totals() == first  # nothing it reads
+        files.append_parquet({"order_payments": frames(spark, make(3, 2)).order_payments}, folder)
+        assert totals() != first
+
+
+# --- checks -----------------------------------------------------------------------------------
+
+
+def test_a_key_and_its_references_meet_in_one_shuffle(star, no_broadcasts):
+    text = plan(quality.integrity(star))
+    # Orders, and all that refer to them: one; likewise customers, products, sellers.
+    assert len(re.findall(r"Exchange hashpartitioning\(key", text)) == 4
+    assert "Join" not in re.sub(r"Join \[[cspnr]_|Join \[o_custkey", "", text).split("Union")[0]
+
+
+def test_load_checks_read_each_table_once(spark, star, tmp_path):
+    from souk.sources import files
+    checks = quality.LoadChecks()
+    with tables.owned(spark):
+        files.write_parquet(star, str(tmp_path / "t"), watched=checks.watched)
+    found = {(r.check_name, r.table_name, r.column_name): r.n for r in checks.report(spark).collect()}
+    for name, df in star.items():
+        assert found["rows", name, ""] == df.count()
+    for r in quality.null_checks(star).collect():
+        assert found["nulls", r.table_name, r.column_name] == r.n_null
+    for r in quality.length_checks(star).collect():
+        assert found["long", r.table_name, r.column_name] == r.n_long
