@@ -9,6 +9,7 @@ from functools import partial
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -78,42 +79,35 @@ class Counters:
 
 def column_counts(rows: DataFrame, column: str, bits: int = COUNTER_BITS) -> Counters:
     """Counters of the packed 64-bit hashes in ``column``, 2**bits of them in all."""
-    pages = rows.select(column).mapInArrow(
-        partial(_count_pages, column=column, bits=bits), "page int, counts binary"
-    ).groupBy("page").applyInArrow(_sum_pages, "page int, counts binary").toArrow()
+    pages = added(
+        rows.select(column).mapInArrow(
+            partial(_count_pages, column=column, bits=bits), "deal int, page int, cells binary"),
+        ["page"], "int64",
+    )
     out = np.zeros(1 << bits, np.int64)
-    for page, counts in zip(pages.column("page").to_pylist(), pages.column("counts").to_pylist()):
-        out[page * _PAGE:(page + 1) * _PAGE] = np.frombuffer(counts, np.int64)
+    for page, cells in zip(pages.column("page").to_pylist(), pages.column("cells").to_pylist()):
+        out[page * _PAGE:(page + 1) * _PAGE] = np.frombuffer(cells, np.int64)
     return Counters(np.minimum(out, 2**31 - 1).astype(np.int32))
 
 
 def _count_pages(
     batches: Iterator[pa.RecordBatch], column: str, bits: int
 ) -> Iterator[pa.RecordBatch]:
-    counts = np.zeros(1 << bits, np.int64)  # of one task: well within 32 bits a counter
+    counts = np.zeros(1 << bits, np.int64)
     for batch in batches:
         for packed in batch.column(column).to_pylist():
             hashes = np.frombuffer(packed, np.uint64)
             np.add.at(counts, (hashes >> np.uint64(11)) & np.uint64(len(counts) - 1), 1)
     pages = counts.reshape(-1, _PAGE)
     full = np.flatnonzero(pages.any(axis=1))
+    deal = TaskContext.get().partitionId() % DEALS
     yield pa.RecordBatch.from_arrays(
-        [pa.array(full, pa.int32()),
-         pa.array([pages[p].astype(np.uint32).tobytes() for p in full], pa.binary())],
-        ["page", "counts"],
+        [pa.array(np.full(len(full), deal), pa.int32()), pa.array(full, pa.int32()),
+         pa.array([pages[p].tobytes() for p in full], pa.binary())],
+        ["deal", "page", "cells"],
     )
 
 
-def _sum_pages(group: pa.Table) -> pa.Table:
-    total = np.zeros(_PAGE, np.int64)
-    for counts in group.column("counts").to_pylist():
-        total += np.frombuffer(counts, np.uint32)
-    return pa.table({
-        "page": group.column("page").slice(0, 1).combine_chunks(),
-        "counts": pa.array([total.tobytes()], pa.binary()),
-    })
-
-
 def added(pages: DataFrame, keys: Sequence[str], dtype: str) -> pa.Table:
     """The sum of the numbers in ``cells`` (packed, of ``dtype``) per value of ``keys``.
 

@@ -13,10 +13,12 @@ from functools import lru_cache, partial
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from souk.llm.frames import DEALS, added
 from souk.llm.text import Texts, slices
 
 UNKNOWN = "und"
@@ -45,25 +47,22 @@ def train(
     ``MATRIX_LIMIT / 2**bits``; more raise an error, as their matrix would be too large to
     broadcast. No labelled rows give a model that knows no language.
     """
-    counts = docs.select(
+    labelled = docs.select(
         F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang")
-    ).dropna().mapInArrow(
-        partial(_count, bits=bits), "lang string, page int, texts long, counts binary"
-    ).groupBy("lang", "page").applyInArrow(
-        _add_pages, "lang string, page int, texts long, counts binary"
-    )
-    languages = counts.select("lang").distinct().limit((MATRIX_LIMIT >> bits) + 1).count()
+    ).filter("lang IS NOT NULL")
+    languages = labelled.select("lang").distinct().limit((MATRIX_LIMIT >> bits) + 1).count()
     if languages > MATRIX_LIMIT >> bits:
         raise ValueError(f"more than {MATRIX_LIMIT >> bits} languages")
-    rows = counts.toArrow().to_pylist()  # languages times buckets, bounded above
+    pages = labelled.dropna().mapInArrow(
+        partial(_count, bits=bits), "deal int, lang string, page int, cells binary")
+    rows = added(pages, ["lang", "page"], "int64").to_pylist()  # bounded by the languages
     names = sorted({r["lang"] for r in rows})
     matrix = np.zeros((1 << bits, len(names)), np.int64)
     texts = np.zeros(len(names), np.int64)
     for row in rows:
         at = names.index(row["lang"])
-        matrix[row["page"] * _PAGE:(row["page"] + 1) * _PAGE, at] = np.frombuffer(
-            row["counts"], np.int64)
-        texts[at] = max(texts[at], row["texts"])
+        texts[at], *held = np.frombuffer(row["cells"], np.int64)
+        matrix[row["page"] * _PAGE:(row["page"] + 1) * _PAGE, at] = held
     return Model(names, matrix, texts)
 
 
@@ -170,7 +169,7 @@ def _folding() -> np.ndarray:
 
 
 def _count(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.RecordBatch]:
-    """A task's counts per language, in pages of buckets, with its number of texts."""
+    """A task's counts per language, in pages of buckets, its number of texts before each."""
     counts: dict[str, np.ndarray] = {}
     texts_of: dict[str, int] = {}
     for batch, texts in slices(batches, "text", _SLICE):
@@ -187,26 +186,14 @@ def _count(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.RecordBa
             ).reshape(len(names), -1)
             for name, more in zip(names.tolist(), joint):
                 counts[name] += more
+    deal = TaskContext.get().partitionId() % DEALS
     rows = [
-        (name, page, texts_of[name], held.tobytes())
+        (deal, name, page, np.append(texts_of[name], held).tobytes())
         for name, all_pages in counts.items()
         for page, held in enumerate(all_pages.reshape(-1, _PAGE))
     ]
     if rows:
-        kinds = (pa.string(), pa.int32(), pa.int64(), pa.binary())
+        kinds = (pa.int32(), pa.string(), pa.int32(), pa.binary())
         yield pa.RecordBatch.from_arrays(
-            [pa.array(c, k) for c, k in zip(zip(*rows), kinds)],
-            ["lang", "page", "texts", "counts"],
-        )
-
+            [pa.array(c, k) for c, k in zip(zip(*rows), kinds)], ["deal", "lang", "page", "cells"])
 
-def _add_pages(group: pa.Table) -> pa.Table:
-    total = np.zeros(_PAGE, np.int64)
-    for counts in group.column("counts").to_pylist():
-        total += np.frombuffer(counts, np.int64)
-    return pa.table({
-        "lang": pa.array([group.column("lang")[0].as_py()], pa.string()),
-        "page": pa.array([group.column("page")[0].as_py()], pa.int32()),
-        "texts": pa.array([sum(group.column("texts").to_pylist())], pa.int64()),
-        "counts": pa.array([total.tobytes()], pa.binary()),
-    })
