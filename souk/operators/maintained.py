@@ -82,13 +82,17 @@ class Maintained:
     def refresh(self) -> bool:
         """Take in files added since the last refresh; False if there are none."""
         done = self.batches()
-        seen = {
-            row.file for row in self._states("files").select("file").toLocalIterator()
-        } if done else set()
         listed = {
             n: self.spark.read.schema(self.schemas[n]).parquet(f"{self.tables}/{n}") for n in _READ
         }
-        new = {n: sorted(set(df.inputFiles()) - seen) for n, df in listed.items()}
+        files_of = self.spark.createDataFrame(
+            [(n, path) for n, df in listed.items() for path in df.inputFiles()],
+            "table string, file string")
+        if done:
+            files_of = files_of.join(self._states("files"), ["table", "file"], "left_anti")
+        new: dict[str, list[str]] = {n: [] for n in _READ}
+        for table, path in files_of.agg(F.collect_list(F.struct("table", "file"))).first()[0]:
+            new[table].append(path)
         if not any(new.values()):
             return False
         number = max(done, default=0) + 1
@@ -107,7 +111,7 @@ class Maintained:
         for name, rows in _states_of(facts).items():
             write(name, rows)
         write("files", self.spark.createDataFrame(
-            [(path,) for paths in new.values() for path in paths], "file string"))
+            [(n, path) for n, paths in new.items() for path in paths], "table string, file string"))
         versions.commit(self.spark, self.state, number)
         return True
 

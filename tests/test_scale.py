@@ -101,7 +101,7 @@ def test_values_at_positions_equal_a_sort(spark, values):
         if 0 <= p < len(known)}
 
 
-@pytest.mark.parametrize("size", [0, 1, 4, 5, 7, 12, 101, 999])
+@pytest.mark.parametrize("size", [0, 4, 7, 501])
 @pytest.mark.parametrize("distinct", [1, 3, 10**6])
 def test_cuts_equal_ntile(spark, size, distinct):
     df = spread(spark, [i * 31 % 1009 % distinct - 5 for i in range(size)])
