@@ -74,13 +74,41 @@ def test_ownership_tells_examples_from_live_keys(spark):
 
 
 def test_several_owners_make_a_mixed_token_no_secret(spark):
-    rows = [(i, "aB3" * 9) for i in range(3)]
+    rows = [(i, f"{'aB3' * 9} {i}") for i in range(3)]
     shared = secrets.digests(secrets.scan(frame(spark, rows))).collect()
     assert {r.spans for r in shared} == {""}
     alone = secrets.digests(secrets.scan(frame(spark, rows, lambda n: "one"))).collect()
     assert {r.spans for r in alone} == {"own:0:27"}
     nobody = secrets.digests(secrets.scan(frame(spark, rows, lambda n: None))).collect()
     assert {r.spans for r in nobody} == {"own:0:27"}
+    copies = secrets.digests(secrets.scan(frame(spark, [(i, "aB3" * 9) for i in range(9)]))).collect()
+    assert {r.spans for r in copies} == {"own:0:27"}
+
+
+def test_scan_and_masking_agree_with_counting(spark):
+    draw = random.Random(7)
+    values = [f"value{i:04d}" for i in range(12)]
+    rows = [(i, " ".join(f"token={v}" for v in draw.sample(values, draw.randrange(3))))
+            for i in range(60)]
+    rows += [(60, None), (61, ""), (62, rows[1][1]), (None, rows[2][1])]
+    owners = [draw.choice(["a", "b", "c", None]) for _ in rows]
+    docs = frame(spark, rows, lambda n: owners[n])
+
+    def smallest(holder):
+        return [(x is not None, str(x)) for x in holder]
+
+    held = {}  # of each text, its smallest holder
+    for (i, text), owner in zip(rows, owners):
+        held[text or ""] = min(held.get(text or "", (owner, i)), (owner, i), key=smallest)
+    holders = {v: [h for t, h in held.items() if v in t] for v in values}
+    copied = {v for v, h in holders.items() if len({o for o, _ in h}) > 2 and len(set(h)) > 2}
+    assert 0 < len(copied) < len(values)
+    wanted = sorted((str(i), sum(v not in copied for v in re.findall(r"value\d+", t or "")))
+                    for i, t in rows)
+    scanned = secrets.digests(secrets.scan(docs)).collect()
+    assert sorted((str(r.doc_id), r.n_live) for r in scanned) == wanted
+    masked = secrets.masked(docs).collect()
+    assert sorted((str(r.doc_id), (r.text or "").count("[secret]")) for r in masked) == wanted
 
 
 def test_masking_asks_for_more_than_copies(spark):
