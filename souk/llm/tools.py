@@ -15,6 +15,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from souk.plans.slices import PERSON, Timeline, previous
 from souk.plans.tables import materialize
 
 # JSON types and what a variant's type starts with.
@@ -158,25 +159,45 @@ def _checked(calls: DataFrame, parameters: DataFrame) -> DataFrame:
 
 # --- conversations ----------------------------------------------------------------------------
 
-#: What the turns of a conversation call, as its tools.
+#: What the user turns of a conversation call, as its tools.
 PARAMETERS = (
+    ("open", "text", "string", True),
+    ("open", "turn", "integer", True),
     ("reply", "text", "string", True),
     ("reply", "turn", "integer", True),
-    ("reply", "after", "integer", False),
+    ("reply", "after", "integer", True),
 )
+_SPEAKERS = ("user", "assistant")
 
 
 def calls_of(conversations: DataFrame) -> DataFrame:
-    """Every user turn as a call of the tool ``reply`` that follows the user turn before it."""
-    turn = F.col("turn")
-    arguments = F.to_json(F.struct(
-        "text", "turn", F.when(turn > 1, turn - 2).alias("after")))
-    return conversations.filter("role = 'user'").select(
-        _call_id(turn).alias("call_id"), _call_id(turn - 2).alias("parent_id"),
-        turn.alias("position"), F.lit("reply").alias("name"), arguments.alias("arguments"),
+    """Every user turn as a call: ``open`` for a conversation's first, ``reply`` after another."""
+    users = conversations.filter("role = 'user'")
+    before = _before(users.select("conv_id", "turn")).withColumnsRenamed(
+        {"conv_id": "of", "turn": "at"})
+    arguments = F.to_json(F.struct("text", "turn", F.col("before").alias("after")))
+    return users.join(
+        before, (F.col("conv_id") == F.col("of")) & (F.col("turn") == F.col("at"))
+    ).select(
+        _call_id(F.col("turn")).alias("call_id"), _call_id(F.col("before")).alias("parent_id"),
+        F.col("turn").alias("position"),
+        F.when(F.col("before").isNull(), "open").otherwise("reply").alias("name"),
+        arguments.alias("arguments"),
     )
 
 
+def _before(turns: DataFrame) -> DataFrame:
+    """Rows (conv_id, turn, before): of each turn the one before it in ``turns``, or NULL.
+
+    Turns that repeat are one. A conversation with a large share of all turns is cut into slices.
+    """
+    line = Timeline(turns.withColumnRenamed("conv_id", PERSON).distinct(), ["turn"])
+    rows = line.carry(
+        totals={"slice_last": F.max("turn")}, state={"last_before": previous("slice_last")})
+    before = F.coalesce(F.lag("turn").over(line.window), "last_before")
+    return rows.select(F.col(PERSON).alias("conv_id"), "turn", before.alias("before"))
+
+
 def results_of(conversations: DataFrame) -> DataFrame:
     """Every assistant turn as the result of the call one turn before."""
     turn = F.col("turn")
@@ -184,6 +205,22 @@ def results_of(conversations: DataFrame) -> DataFrame:
         _call_id(turn - 1).alias("call_id"), turn.alias("position"), F.col("text").alias("content"))
 
 
+def context_of(conversations: DataFrame) -> DataFrame:
+    """Every turn of another role as a row of ``link``'s columns, with the status ``context``."""
+    other = ~F.coalesce(F.col("role").isin(*_SPEAKERS), F.lit(False))
+    context = conversations.filter(other).groupBy("conv_id", "turn", "role").agg(
+        F.min("text").alias("content"), F.count("*").alias("n_results"))
+    call_id = F.concat(_call_id(F.col("turn")), F.lit(":"), F.coalesce("role", F.lit("")))
+    return context.select(
+        call_id.alias("call_id"), F.lit(None).cast("long").alias("level"),
+        F.col("turn").alias("position"), F.lit("context").alias("status"),
+        F.lit(None).cast("string").alias("name"), F.lit(None).cast("boolean").alias("valid"),
+        F.lit(None).cast("array<string>").alias("problems"),
+        F.lit(0).cast("long").alias("n_calls"), "n_results",
+        F.to_json(F.struct("content", call_id.alias("id"), "role")).alias("message"),
+    )
+
+
 def _call_id(turn: Column) -> Column:
     return F.concat(F.col("conv_id").cast("string"), F.lit(":"), turn.cast("string"))
 
@@ -191,46 +228,53 @@ def _call_id(turn: Column) -> Column:
 def linked_turns(conversations: DataFrame) -> DataFrame:
     """``link`` over the turns of ``conversations`` (conv_id, turn, role, text).
 
-    Turns with another role, or a NULL conversation or turn, are neither call nor result.
+    User turns are calls, each after the user turn before it, however many turns lie
+    between; assistant turns are results. A turn of another role, or of none, has the status
+    ``context`` and a message of its content, id (conversation:turn:role) and role; of those
+    that repeat the smallest text counts, ``n_results`` of them. Turns with a NULL
+    conversation or number are dropped. No turns give no rows; other columns are ignored.
     """
-    turns = conversations.select("conv_id", "turn", "role", "text")
+    turns = conversations.select("conv_id", "turn", "role", "text").dropna(
+        subset=["conv_id", "turn"])
     spark = conversations.sparkSession
     parameters = spark.createDataFrame(
         PARAMETERS, "name string, parameter string, type string, required boolean")
-    return link(calls_of(turns), results_of(turns), parameters)
+    return link(calls_of(turns), results_of(turns), parameters).unionByName(context_of(turns))
 
 
 #: The rows of ``linked_turns``, problems joined by commas, in DuckDB's SQL.
 ORACLE = r"""
-WITH RECURSIVE calls AS (
-  SELECT call_id, arg_min(p, (p, coalesce(t, ''))) AS position, arg_min(t, (p, coalesce(t, ''))) AS text, count(*) AS n_calls,
-         any_value(conv_id) AS conv_id
-  FROM (SELECT conv_id, conv_id || ':' || turn AS call_id, turn AS p, text AS t
-        FROM conversations WHERE role = 'user' AND conv_id IS NOT NULL AND turn IS NOT NULL)
-  GROUP BY call_id),
+WITH turns AS (SELECT * FROM conversations WHERE conv_id IS NOT NULL AND turn IS NOT NULL),
+firsts AS (
+  SELECT conv_id, turn, arg_min(text, coalesce(text, '')) AS text, count(*) AS n_calls
+  FROM turns WHERE role = 'user' GROUP BY conv_id, turn),
+calls AS (
+  SELECT conv_id || ':' || turn AS call_id, turn AS position, text, n_calls,
+         lag(turn) OVER of_conversation AS before, row_number() OVER of_conversation - 1 AS level
+  FROM firsts WINDOW of_conversation AS (PARTITION BY conv_id ORDER BY turn)),
 results AS (
   SELECT conv_id || ':' || (turn - 1) AS call_id, min(turn) AS answered_at, min(text) AS content, count(*) AS n_results
-  FROM conversations WHERE role = 'assistant' AND conv_id IS NOT NULL AND turn IS NOT NULL
-  GROUP BY conv_id, turn),
-levels AS (
-  SELECT call_id, conv_id, position, 0 AS level FROM calls c
-  WHERE NOT EXISTS (SELECT 1 FROM calls b WHERE b.call_id = c.conv_id || ':' || (c.position - 2))
-  UNION ALL
-  SELECT c.call_id, c.conv_id, c.position, level + 1 FROM levels l
-  JOIN calls c ON c.conv_id = l.conv_id AND c.position = l.position + 2)
-SELECT coalesce(c.call_id, r.call_id) AS call_id, CAST(l.level AS BIGINT) AS level,
+  FROM turns WHERE role = 'assistant' GROUP BY conv_id, turn)
+SELECT coalesce(c.call_id, r.call_id) AS call_id, CAST(c.level AS BIGINT) AS level,
        coalesce(c.position, answered_at) AS position,
        CASE WHEN c.call_id IS NULL THEN 'orphan' WHEN r.call_id IS NULL THEN 'unanswered' ELSE 'answered' END AS status,
-       CASE WHEN c.call_id IS NOT NULL THEN 'reply' END AS name,
+       CASE WHEN c.call_id IS NOT NULL THEN CASE WHEN before IS NULL THEN 'open' ELSE 'reply' END END AS name,
        CASE WHEN c.call_id IS NOT NULL THEN c.text IS NOT NULL END AS valid,
        CASE WHEN c.call_id IS NOT NULL THEN CASE WHEN c.text IS NULL THEN 'missing text' ELSE '' END END AS problems,
        coalesce(n_calls, 0) AS n_calls, coalesce(n_results, 0) AS n_results,
        '{"arguments":{' || CASE WHEN c.call_id IS NULL THEN '' ELSE
-           CASE WHEN c.position > 1 THEN '"after":' || (c.position - 2) || ',' ELSE '' END
+           CASE WHEN before IS NOT NULL THEN '"after":' || before || ',' ELSE '' END
            || CASE WHEN c.text IS NOT NULL THEN '"text":' || to_json(c.text) || ',' ELSE '' END
            || '"turn":' || c.position END || '}'
          || CASE WHEN content IS NOT NULL THEN ',"content":' || to_json(content) ELSE '' END
          || ',"id":' || to_json(coalesce(c.call_id, r.call_id))
-         || CASE WHEN c.call_id IS NOT NULL THEN ',"name":"reply"' ELSE '' END || '}' AS message
-FROM calls c FULL JOIN results r ON c.call_id = r.call_id LEFT JOIN levels l ON l.call_id = c.call_id
+         || CASE WHEN c.call_id IS NULL THEN '' WHEN before IS NULL THEN ',"name":"open"' ELSE ',"name":"reply"' END
+         || '}' AS message
+FROM calls c FULL JOIN results r ON c.call_id = r.call_id
+UNION ALL
+SELECT conv_id || ':' || turn || ':' || coalesce(role, ''), NULL, turn, 'context', NULL, NULL, NULL, 0, count(*),
+       '{' || CASE WHEN min(text) IS NOT NULL THEN '"content":' || to_json(min(text)) || ',' ELSE '' END
+         || '"id":' || to_json(conv_id || ':' || turn || ':' || coalesce(role, ''))
+         || CASE WHEN role IS NOT NULL THEN ',"role":' || to_json(role) ELSE '' END || '}'
+FROM turns WHERE coalesce(role NOT IN ('user', 'assistant'), true) GROUP BY conv_id, turn, role
 """

@@ -265,7 +265,7 @@ def test_very_long_texts(spark):
         (row,) = tools.linked_turns(long).select(
             "valid", "problems", F.length("message").alias("size"),
             F.substring("message", 1, 21).alias("start")).collect()
-        short = '{"arguments":{"text":"x","turn":1},"content":"y","id":"1:1","name":"reply"}'
+        short = '{"arguments":{"text":"x","turn":1},"content":"y","id":"1:1","name":"open"}'
         assert (row.valid, row.problems, row.size) == (True, [], len(short) + size - 1)
         assert row.start == short[:21] or role == "user"
     calls = spark.createDataFrame([("a", None, 1, "search", "{", 9)], CALLS).withColumn(
@@ -278,18 +278,40 @@ def test_very_long_texts(spark):
 def test_turns_of_conversations(spark):
     turns = [(1, 0, "system", "be"), (1, 1, "user", "hi"), (1, 2, "assistant", "yo"),
              (1, 3, "user", 'q "é"\n'), (2, 0, "user", None), (2, 1, "assistant", "a"),
-             (2, 1, "assistant", "b"), (3, 1, "assistant", "lost"), (None, 1, "user", "x"), (4, None, "user", "y")]
+             (2, 1, "assistant", "b"), (3, 1, "assistant", "lost"), (None, 1, "user", "x"), (4, None, "user", "y"),
+             (1, 4, "assistant", "a"), (1, 5, "assistant", "b"), (1, 9, "user", "late"), (1, 9, "user", "more"),
+             (5, 0, None, None), (5, 0, None, "b"), (5, 0, "system", "")]
     table = spark.createDataFrame(
         [(*t, "x", 1) for t in turns], "conv_id long, turn long, role string, text string, call_id string, level int")
     got = {r.call_id: r for r in tools.linked_turns(table).collect()}
     assert {k: (r.level, r.status, r.n_results, r.problems) for k, r in got.items()} == {
-        "1:1": (0, "answered", 1, []), "1:3": (1, "unanswered", 0, []),
-        "2:0": (0, "answered", 2, ["missing text"]), "3:0": (None, "orphan", 1, None)}
+        "1:1": (0, "answered", 1, []), "1:3": (1, "answered", 1, []), "1:4": (None, "orphan", 1, None),
+        "1:9": (2, "unanswered", 0, []), "1:0:system": (None, "context", 1, None),
+        "5:0:": (None, "context", 2, None), "5:0:system": (None, "context", 1, None), "2:0": (0, "answered", 2, ["missing text"]), "3:0": (None, "orphan", 1, None)}
     assert got["1:3"].message == (
-        '{"arguments":{"after":1,"text":"q \\"é\\"\\n","turn":3},"id":"1:3","name":"reply"}')
+        '{"arguments":{"after":1,"text":"q \\"é\\"\\n","turn":3},"content":"a","id":"1:3","name":"reply"}')
+    assert got["1:9"].message == (
+        '{"arguments":{"after":3,"text":"late","turn":9},"id":"1:9","name":"reply"}')
+    assert (got["1:9"].n_calls, got["2:0"].name, got["1:9"].name) == (2, "open", "reply")
+    assert got["1:0:system"].message == '{"content":"be","id":"1:0:system","role":"system"}'
+    assert got["5:0:"].message == '{"content":"b","id":"5:0:"}'
     assert tools.linked_turns(table.limit(0)).collect() == []
 
 
+def test_turns_of_a_large_conversation(spark):
+    draw = random.Random(5)
+    turns = [(1, t, draw.choice(["user", "user", "assistant", "tool"])) for t in range(0, 9000, 3)]
+    turns += [(c, t, draw.choice(["user", "system"])) for c in range(2, 40) for t in draw.sample(range(9), 3)]
+    table = spark.createDataFrame([(*t, "x") for t in turns * 2], "conv_id long, turn long, role string, text string")
+    before, wanted = {}, {}
+    for conv, turn, role in sorted(turns):
+        if role == "user":
+            wanted[conv, turn] = before.get(conv)
+            before[conv] = turn
+    rows = tools._before(table.filter("role = 'user'").select("conv_id", "turn")).collect()
+    assert {(r.conv_id, r.turn): r.before for r in rows} == wanted and len(rows) == len(wanted)
+
+
 def test_filter_takes_linear_time(spark):
     import time
     texts = spark.range(1).select(F.repeat(F.lit("z"), 1_000_000).alias("text"))
