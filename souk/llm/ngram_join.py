@@ -37,6 +37,8 @@ from souk.plans.tables import materialize
 
 BLOCK = 512
 PIVOTS = 16
+#: Parts that the texts of one group are in when they learn what is known of the group.
+SALTS = 32
 #: Packed shingles that one task takes of a shuffle.
 PART_ENTRIES = 500_000
 #: Shingles in more sets than this, or than eight times what a counter holds on average,
@@ -299,10 +301,11 @@ def _edges(sets, percent: int, block: int) -> DataFrame:
     members = materialize(
         prefixes.join(leaders, "token").select("leader", "set").distinct()
     )
-    crowds = members.groupBy("leader").agg(F.count("*").alias("crowd")).filter("crowd > 1")
+    crowds = members.groupBy("leader").agg(F.count("*").alias("crowd")).filter(
+        F.col("crowd") > block)
     # Dealt by hash; a crowd's pivots go to each of its blocks.
-    dealt = members.join(crowds, "leader").withColumn(
-        "blocks", F.ceil(F.col("crowd") / block).cast("int")
+    dealt = _beside(members, crowds, "left").withColumn(
+        "blocks", F.coalesce(F.ceil(F.col("crowd") / block), F.lit(1)).cast("int")
     ).withColumn("draw", F.xxhash64("set", "leader"))
     whole = F.sequence(F.lit(0), F.col("blocks") - 1)
     pivot = (F.col("blocks") > 1) & (F.pmod("draw", "crowd") < PIVOTS)
@@ -329,15 +332,15 @@ def _edges(sets, percent: int, block: int) -> DataFrame:
     )
     main = joined.groupBy("leader", "component").agg(F.count("*").alias("held")).groupBy(
         "leader").agg(F.max_by("component", "held").alias("main"))
-    outside = joined.join(main, "leader").filter("component != main")
+    outside = _beside(joined, main).filter("component != main")
     # Visitors come in waves of a block's size; a wave meets each resident block in a task.
     waves = outside.groupBy("leader").agg(F.ceil(F.count("*") / block).cast("int").alias("waves"))
-    visits = outside.join(waves, "leader").select(
+    visits = _beside(outside, waves).select(
         "leader", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "set",
         F.lit(True).alias("visits"),
         F.pmod(F.xxhash64("set"), F.col("waves")).cast("int").alias("wave"),
     )
-    stays = placed.filter("blocks > 1").join(waves, "leader").select(
+    stays = _beside(placed.filter("blocks > 1"), waves).select(
         "leader", "block", "set", F.lit(False).alias("visits"),
         F.explode(F.sequence(F.lit(0), F.col("waves") - 1)).alias("wave"),
     )
@@ -348,6 +351,18 @@ def _edges(sets, percent: int, block: int) -> DataFrame:
     return materialize(first.unionByName(second))
 
 
+def _beside(rows: DataFrame, facts: DataFrame, how: str = "inner") -> DataFrame:
+    """``rows`` (leader, set, ...) with what ``facts`` holds of their leader.
+
+    Facts are of groups larger than a block, a row each, so that a copy for every salt is
+    still few rows beside the groups' own. A group's rows are spread over the salts.
+    """
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
+    salt = F.pmod(F.xxhash64("set"), F.lit(SALTS)).cast("int")
+    return rows.withColumn("salt", salt).join(
+        facts.select("*", salts), ["leader", "salt"], how).drop("salt")
+
+
 def _send_rare(
     batches: Iterator[pa.RecordBatch], rough, often: int, parts: int
 ) -> Iterator[pa.RecordBatch]:

@@ -86,6 +86,24 @@ def test_one_of_each_group_stays(spark, crowd):
     assert [r for r in rows if r[0] is None] == [(None, "nobody else writes like this here")]
 
 
+def test_facts_of_a_large_group_meet_its_rows_in_many_tasks(spark):
+    rows = spark.range(4000).select(
+        F.when(F.col("id") < 3900, 7).otherwise(F.col("id")).alias("leader"), F.col("id").alias("set"))
+    facts = spark.createDataFrame([(7, "large"), (8, "nobody's")], "leader long, fact string")
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+        spark.conf.set("spark.sql.adaptive.enabled", False)
+        met = ngram_join._beside(rows, facts, "left").withColumn("task", F.spark_partition_id()).toPandas()
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+    assert sorted(met["set"]) == list(range(4000)) and list(met.columns) == ["leader", "set", "fact", "task"]
+    assert ((met.fact == "large") == (met["set"] < 3900)).all()
+    assert met[met.leader == 7].groupby("task").size().max() < 2000
+    assert ngram_join._beside(rows, facts).count() == 3900
+
+
 def test_components(spark):
     draw = random.Random(2)
     chain = [(i, i + 1) for i in range(0, 40)]
