@@ -31,11 +31,11 @@ def test_queries_equal_their_sql(spark, key):
 
 
 def test_every_operator_is_registered():
-    assert [int(k[2:].split("_")[0]) for k in queries.QUERIES] == list(range(1, 11))
+    assert [int(k[2:].split("_")[0]) for k in queries.QUERIES] == list(range(1, 14))
 
 
 def test_native_operators_run_no_python(spark):
-    for key in ("op1_tool_calls", "op7_secret_scan"):
+    for key in ("op1_tool_calls", "op7_secret_scan", "op11_exact_dedup"):
         plan = queries.QUERIES[key](spark, f"{TESTDATA}/sf0.001")._jdf.queryExecution()
         assert "Python" not in plan.toString() and "InArrow" not in plan.toString()
 
