@@ -68,20 +68,24 @@ def _placed(t: Tables) -> DataFrame:
 
 
 def _details(orders: DataFrame, items: DataFrame, reviews: DataFrame, t: Tables) -> DataFrame:
-    # Products are named before they meet the items: few categories, many items of each.
-    products = t.products.select("product_id", "product_category_name").join(
+    # Products are named before they meet the items: few categories, many items of each. Items
+    # meet them first, while they are narrow; then all joins are by order, and the columns of
+    # orders are shuffled once an order and not once an item.
+    names = t.products.select("product_id", "product_category_name").join(
         t.product_category_translation, "product_category_name", "left"
+    ).select(
+        "product_id",
+        F.coalesce("product_category_name_english", "product_category_name", F.lit("unknown"))
+        .alias("product_category_english"),
     )
     columns = ["order_id", "order_item_id", "product_id", "price", "freight_value"]
     return (
-        items.select(*columns).join(orders, "order_id")
-        .join(products, "product_id")
+        items.select(*columns).join(names, "product_id")
+        .join(orders, "order_id")
         .join(reviews.select("order_id", "review_score"), "order_id", "left")
         .select(
             "order_id", "order_purchase_timestamp", "order_status", "customer_unique_id",
-            "customer_state", "order_item_id", "product_id",
-            F.coalesce("product_category_name_english", "product_category_name", F.lit("unknown"))
-            .alias("product_category_english"),
+            "customer_state", "order_item_id", "product_id", "product_category_english",
             "price", "freight_value", "review_score",
         )
     )

@@ -333,6 +333,14 @@ def test_details_of_the_newest_shuffle_no_reviews(star, no_broadcasts):
     assert raw_exchanges(text, "l_extendedprice") == 0
 
 
+def test_all_details_shuffle_orders_columns_once_an_order(star, no_broadcasts):
+    text = plan(joined.order_details(star, k=None))
+    # Named items, placed orders and reviews: their join is not dealt again.
+    assert text.count("Exchange hashpartitioning(order_id") == 3
+    assert text.count("Exchange hashpartitioning(product_id") == 2
+    assert raw_exchanges(text, "l_extendedprice") == 1
+
+
 # --- written tables ---------------------------------------------------------------------------
 
 
