@@ -17,7 +17,7 @@ from souk.operators.churn import churn_risk
 from souk.operators.cohort import cohort_retention
 from souk.operators.orders import customer_totals
 from souk.operators.value import customer_ltv
-from souk.plans import results, slices, tables
+from souk.plans import deal, results, slices, tables
 from souk.plans.rank import ranked, tile
 from souk.plans.select import at_positions, cuts, part
 from souk.plans.tables import materialize
@@ -325,6 +325,23 @@ def test_items_are_shuffled_once(star, no_broadcasts, operator, monkeypatch):
     assert raw_exchanges(plan((written or [result])[0]), "l_suppkey") == 1
 
 
+@pytest.mark.parametrize("operator", [
+    joined.seller_performance])
+def test_parts_of_items_follow_their_number(star, no_broadcasts, operator, monkeypatch):
+    usual = operator(star).collect()
+    monkeypatch.setattr(deal, "ROWS", 1000)
+    parts = -(-star.order_items.count() // 1000)
+    assert parts > 8 * deal.MERGED
+    written = []
+    monkeypatch.setattr(joined, "materialize", lambda df: written.append(df) or materialize(df))
+    assert operator(star).collect() == usual
+    result = operator(star)
+    text = plan((written or [result])[-1])
+    # Items once; orders; reviews to be folded, and then as the items are.
+    dealt = re.findall(r"Exchange hashpartitioning\(order_id[^,]*, (\d+)\)", text)
+    assert sorted(map(int, dealt)) == [8, parts, parts, parts]
+
+
 def test_details_of_the_newest_shuffle_no_reviews(star, no_broadcasts):
     text = plan(joined.order_details(star))
     assert "BroadcastHashJoin" in text
