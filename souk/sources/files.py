@@ -8,6 +8,7 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession
 
 from souk.plans import versions
+from souk.plans.deal import parts
 from souk.schema import SCHEMAS, Tables
 
 # The one table with free text, whose quoted values hold line breaks.
@@ -21,6 +22,8 @@ BUCKET_KEYS = {
     "order_payments": "order_id",
     "order_reviews": "order_id",
 }
+#: Rows of a table in a bucket, about, unless fewer buckets than were asked for would do.
+BUCKET_ROWS = 1 << 20
 
 
 def read_csv_table(
@@ -119,9 +122,14 @@ def write_bucketed(
 ) -> None:
     """Create or replace catalog tables bucketed so that joins on orders do not shuffle.
 
-    A new database lies in ``location``, or where the catalog puts it.
+    A bucket is read by one task, so large tables get more ``buckets``: as many as leave each
+    about ``BUCKET_ROWS`` rows of the largest, in all tables, as only equal numbers meet without
+    a shuffle. Counts the rows, which runs jobs. A new database lies in ``location``, or where
+    the catalog puts it.
     """
     spark = t.orders.sparkSession
+    rows = max(df.count() for name, df in t.items() if name in BUCKET_KEYS)
+    buckets = max(buckets, parts(rows, BUCKET_ROWS))
     place = f" LOCATION '{location}'" if location else ""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}{place}")
     for name, df in t.items():

@@ -95,6 +95,22 @@ def test_bucketed_tables_join_orders_without_shuffling_them(spark, sf_dir):
     assert text.count("Exchange") == 1 and "Exchange hashpartitioning(customer_id" in text
 
 
+def test_large_tables_get_more_buckets(spark, sf_dir, monkeypatch):
+    t = read_star(spark, sf_dir)
+    monkeypatch.setattr(files, "BUCKET_ROWS", 2500)
+    files.write_bucketed(t, "large_shop", 8)
+    stored = files.read_catalog(spark, "large_shop")
+    buckets = -(-t.order_items.count() // 2500)
+    assert buckets > 8
+    for name in files.BUCKET_KEYS:
+        table = spark.sql(f"DESCRIBE EXTENDED large_shop.{name}")
+        assert table.filter("col_name = 'Num Buckets'").first().data_type == str(buckets)
+    # A bucket's rows are those of one task.
+    largest = max(r["count"] for r in stored.order_items.groupBy(F.spark_partition_id()).count().collect())
+    assert largest < 2 * 2500
+    assert rows(customer_totals(stored)) == rows(customer_totals(t))
+
+
 def test_live_views_see_new_orders_and_snapshots_when_refreshed(spark, tmp_path):
     def purchase(order, month):
         return (order, "p1", datetime(2018, month, 1), ["5.00"], [5])
