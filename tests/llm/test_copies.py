@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from souk.llm import contamination, ngram_join, repeats
 from souk.llm.components import components
-from souk.llm.frames import bitmap
+from souk.llm.frames import added, bitmap
 from souk.llm.text import Fingerprints, Words, as_texts
 from tests.llm import brute
 
@@ -123,6 +123,23 @@ def test_bitmap_holds_every_key(spark):
     assert held.holds(values).all() and held.holds(values + 1).mean() < 0.05
 
 
+def test_sums_of_mostly_zeros_reach_the_driver_small(spark, monkeypatch):
+    numbers = np.zeros(1 << 12, np.int64)
+    numbers[[3, 70]] = 2**40, -5
+    rows = [(deal, page, numbers.tobytes()) for deal in (0, 1) for page in range(100)]
+    pages = spark.createDataFrame(rows, "deal int, page int, cells binary")
+    received = []
+    fetch = type(pages).toArrow
+    monkeypatch.setattr(
+        type(pages), "toArrow", lambda df: received.append(fetch(df)) or received[-1])
+    sums = added(pages, ["page"], "int64")
+    assert sorted(sums.column("page").to_pylist()) == list(range(100))
+    assert set(sums.column("cells").to_pylist()) == {(2 * numbers).tobytes()}
+    assert received[0].nbytes < sums.nbytes / 20
+    assert sums.schema.names == ["page", "cells"]
+    assert added(pages.limit(0), ["page"], "int64").num_rows == 0
+
+
 def test_words_and_fingerprints():
     texts = as_texts(pa.array(["The cat\tSAT", None, "", "x", "the  CAT sat on the mat"]))
     found = Words(texts)
