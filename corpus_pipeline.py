@@ -38,7 +38,8 @@ def without_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, credentials that look live masked, lengths counted anew."""
-    return secrets.masked(docs).withColumn("n_chars", F.length("text").cast("long"))
+    masked = secrets.masked(docs, repo_col=secrets.DOCUMENT)
+    return masked.withColumn("n_chars", F.length("text").cast("long"))
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -5,11 +5,13 @@ import json
 import random
 import re
 
+import duckdb
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from souk.llm import licenses, secrets, tools
+import corpus_pipeline
+from souk.llm import licenses, queries, secrets, tools
 from souk.llm.text import as_texts
 
 DOCS = "doc_id long, text string, source string, base string, row long, live string"
@@ -125,6 +127,39 @@ def test_masking_asks_for_more_than_copies(spark):
         assert {r.text for r in few} == {f"d{i} secret=[secret]" for i in range(6)}
 
 
+def test_a_repository_of_several_owners_counts_once(spark):
+    rows = [(i, f"token=shared{'aB3' * 3} {'aB3' * 9} {i}") for i in range(4)]
+    docs = frame(spark, rows)  # four owners, and "b" for all in base
+    team = secrets.digests(secrets.scan(docs, repo_col="base")).collect()
+    assert {(r.spans, r.n_live, r.n_example) for r in team} == {("assign:0:21,own:22:49", 2, 0)}
+    assert {r.text for r in secrets.masked(docs, repo_col="base").collect()} == {
+        f"token=[secret] [secret] {i}" for i in range(4)}
+    spread = secrets.digests(secrets.scan(docs)).collect()
+    assert {(r.spans, r.n_live, r.n_example) for r in spread} == {("assign:0:21", 0, 1)}
+    assert {r.text for r in secrets.masked(docs).collect()} == {t for _, t in rows}
+    # Of each number of repositories, two are too few; a NULL one is one.
+    for names, live in ((["x", "y"] * 2, True), (["x", "y", "z", "z"], False), ([None, "x", None, "y"], False)):
+        named = spark.createDataFrame(
+            [(i, t, f"o{i}", n) for (i, t), n in zip(rows, names)], "doc_id long, text string, source string, name string")
+        got = secrets.scan(named, repo_col="name").collect()
+        assert {(r.n_live, r.n_example) for r in got} == {(2, 0) if live else (0, 1)}
+        assert {"[secret]" in r.text for r in secrets.masked(named, repo_col="name").collect()} == {live}
+
+
+def test_the_query_names_a_document_as_its_sql_does(spark, tmp_path):
+    texts = [f"{i} token=value{n} {'aB3' * 9}{n}" for n in range(3) for i in range(4)]
+    ids = [1, 1, 1, 1, None, None, None, 2, 5, 6, 5, 6]
+    owners = ["a", "b", "c", "d", "a", "null", None, "a", "a", "b", "a", "b"]
+    docs = spark.createDataFrame(list(zip(ids, texts, owners)), "doc_id long, text string, source string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    duck = duckdb.connect()
+    duck.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    wanted = sorted(map(str, duck.execute(secrets.ORACLE).fetchall()))
+    assert sorted(str(tuple(r)) for r in queries.op7_secret_scan(spark, str(tmp_path)).collect()) == wanted
+    masked = corpus_pipeline.without_secrets(spark, docs, str(tmp_path)).collect()
+    assert {r.text for r in masked if "[secret]" not in r.text} == set(texts[:8])
+
+
 # --- licenses ---------------------------------------------------------------------------------
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
